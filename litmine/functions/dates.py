@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from litmine.functions.text import text_or_empty
+from litmine.functions.text import let, text_or_empty
 
 # English month names, short and full, case-sensitive.
 MONTH_NAMES = (
@@ -28,11 +28,11 @@ def _strict_int(value: Column) -> Column:
 
 
 def _month_number(month: Column, year: Column) -> Column:
-    named = F.lit(None).cast("int")
-    for number, names in reversed(list(enumerate(MONTH_NAMES, start=1))):
-        named = F.when(month.isin(*names), F.lit(number)).otherwise(named)
+    numbers = {name: n for n, names in enumerate(MONTH_NAMES, start=1) for name in names}
+    by_name = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
     # A month name is only read next to a four-digit year.
-    return F.coalesce(_strict_int(month), F.when(year.between(1000, 9999), named))
+    named = F.when(year.between(1000, 9999), F.try_element_at(by_name, month))
+    return F.coalesce(_strict_int(month), named)
 
 
 def _days_in_month(year: Column, month: Column) -> Column:
@@ -51,13 +51,6 @@ def parse_partial_date(year: Column, month: Column, day: Column, medline_date: C
     the year; a day with an unreadable month is an error; without a year the
     first four-digit word of the free-text date is used.
     """
-    y = _strict_int(text_or_empty(year))
-    y = F.when(y.between(-999999999, 999999999), y)
-    m = _month_number(text_or_empty(month), y)
-    d = _strict_int(text_or_empty(day))
-    free_year = F.regexp_extract(text_or_empty(medline_date), YEAR_IN_FREE_TEXT, 1)
-    free_year = F.when(free_year != "", free_year).cast("int")
-
     no_int = F.lit(None).cast("int")
     no_text = F.lit(None).cast("string")
 
@@ -68,16 +61,32 @@ def parse_partial_date(year: Column, month: Column, day: Column, medline_date: C
             (F.lit(error) if error else no_text).alias("error"),
         )
 
-    month_ok = m.between(1, 12)
-    day_ok = d.between(1, _days_in_month(y, m))
-    return (
-        F.when(y.isNull() & free_year.isNotNull(), build("year", free_year))
-        .when(y.isNull(), build(None, error=NO_DATE))
-        .when(month_ok & day_ok, build("day", y, m, d))
-        .when(month_ok, build("month", y, m))
-        .when(m.isNull() & d.isNotNull(), build(None, error=NO_MONTH))
-        .otherwise(build("year", y))
+    def decide(f: Column) -> Column:
+        y, m, d, free_year = f["y"], f["m"], f["d"], f["free_year"]
+        month_ok = m.between(1, 12)
+        day_ok = d.between(1, _days_in_month(y, m))
+        return (
+            F.when(y.isNull() & free_year.isNotNull(), build("year", free_year))
+            .when(y.isNull(), build(None, error=NO_DATE))
+            .when(month_ok & day_ok, build("day", y, m, d))
+            .when(month_ok, build("month", y, m))
+            .when(m.isNull() & d.isNotNull(), build(None, error=NO_MONTH))
+            .otherwise(build("year", y))
+        )
+
+    def numbers(f: Column) -> Column:
+        y = F.when(f["y"].between(-999999999, 999999999), f["y"])
+        free_year = F.when(y.isNull(), F.regexp_extract(text_or_empty(medline_date), YEAR_IN_FREE_TEXT, 1))
+        return F.struct(
+            y.alias("y"), _month_number(f["month"], f["y"]).alias("m"), f["d"].alias("d"),
+            F.when(free_year != "", free_year).cast("int").alias("free_year"),
+        )
+
+    fields = F.struct(
+        _strict_int(text_or_empty(year)).alias("y"), text_or_empty(month).alias("month"),
+        _strict_int(text_or_empty(day)).alias("d"),
     )
+    return let(let(fields, numbers), decide)
 
 
 def date_lexical(date: Column) -> Column:

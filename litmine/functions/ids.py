@@ -31,7 +31,7 @@ def last_of_list(value: Column) -> Column:
         F.transform(F.split(text_or_empty(value), ";"), lambda e: F.regexp_replace(e, r"^[\x00-\x20]+|[\x00-\x20]+$", "")),
         lambda e: e != "",
     )
-    return F.coalesce(F.get(entries, F.size(entries) - 1), F.lit(""))
+    return F.coalesce(F.try_element_at(entries, F.lit(-1)), F.lit(""))
 
 
 def preferred_file(pmc_files: Column, pdf_files: Column) -> Column:

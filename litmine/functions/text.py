@@ -20,6 +20,11 @@ WORD = r"[\p{L}\p{N}]+"
 RUN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def text_or_empty(value: Column) -> Column:
     """A missing field reads as the empty string, never NULL."""
     return F.coalesce(value.cast("string"), F.lit(""))

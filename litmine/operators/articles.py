@@ -9,7 +9,7 @@ from litmine.functions.dates import parse_partial_date
 from litmine.functions.ids import article_iri
 from litmine.functions.names import family_name, full_name, short_name
 from litmine.functions.orcid import orcid_list
-from litmine.functions.text import text_or_empty
+from litmine.functions.text import let, text_or_empty
 from litmine.sources.articles_xml import parse_record
 
 AUTHOR = (
@@ -34,14 +34,18 @@ def author_struct(
     collective: Column, given: Column, last: Column, initials: Column, suffix: Column, orcids: Column
 ) -> Column:
     """An author with the derived names."""
-    c, g, la, i, s = (text_or_empty(x) for x in (collective, given, last, initials, suffix))
-    return F.struct(
-        c.alias("collective"), g.alias("given"), la.alias("last"), i.alias("initials"), s.alias("suffix"),
-        orcids.cast("array<string>").alias("orcids"),
-        family_name(la, s).alias("family"),
-        full_name(c, g, la, s).alias("name"),
-        short_name(c, la, i, s).alias("short"),
-    )
+    parts = {"collective": collective, "given": given, "last": last, "initials": initials, "suffix": suffix}
+
+    def with_names(p: Column) -> Column:
+        return F.struct(
+            *[p[f].alias(f) for f in (*parts, "orcids")],
+            family_name(p["last"], p["suffix"]).alias("family"),
+            full_name(p["collective"], p["given"], p["last"], p["suffix"]).alias("name"),
+            short_name(p["collective"], p["last"], p["initials"], p["suffix"]).alias("short"),
+        )
+
+    texts = [text_or_empty(value).alias(name) for name, value in parts.items()]
+    return let(F.struct(*texts, orcids.cast("array<string>").alias("orcids")), with_names)
 
 
 def et_al() -> Column:
@@ -82,9 +86,12 @@ def group_values(pairs: Column, key: str, value: str, missing: str = "unknown")
 
 
 def parse_records(records: DataFrame) -> DataFrame:
-    """``records(source_file, raw)`` plus the parsed struct columns and ``_corrupt_record``."""
-    parsed = records.withColumn("_x", parse_record(F.col("raw")))
-    return parsed.select("source_file", "raw", "_x.*")
+    """``records(source_file, raw)`` plus the parsed struct columns and ``_corrupt_record``.
+
+    The parsed struct comes out of a generator, so that no later filter is
+    pushed below it and parses the record a second time.
+    """
+    return records.select("source_file", "raw", F.inline_outer(F.array(parse_record(F.col("raw")))))
 
 
 def malformed_records(parsed: DataFrame) -> DataFrame:

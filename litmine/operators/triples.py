@@ -60,13 +60,17 @@ def _distinct(triples: Column) -> Column:
     return F.transform(fields, lambda f: F.struct(*[f[i].alias(c) for i, c in enumerate(TRIPLE_COLUMNS)]))
 
 
+def _distinct_if(condition: Column, triples: Column) -> Column:
+    return F.when(condition, _distinct(triples)).otherwise(triples)
+
+
 def metadata_triples() -> Column:
     """Type, title, DOIs (one literal) and publication years."""
     iri = F.col("iri")
     return F.concat(
         F.array(_typed(iri, T.ARTICLE_CLASS), literal(iri, T.DCT_TITLE, F.col("title"))),
         F.when(F.size("dois") > 0, F.array(literal(iri, T.DOI, F.array_join("dois", ", ")))).otherwise(_empty()),
-        F.transform("pub_years", lambda y: literal(iri, T.PUBLICATION_YEAR, y.cast("string"), T.XSD_GYEAR)),
+        F.transform(F.array_distinct("pub_years"), lambda y: literal(iri, T.PUBLICATION_YEAR, y.cast("string"), T.XSD_GYEAR)),
     )
 
 
@@ -82,9 +86,11 @@ def page_triples() -> Column:
 
 def journal_triples() -> Column:
     """Article, issue (unless empty), volume and journal, linked upwards."""
-    iri, seed = F.col("iri"), F.col("blank_seed")
-    issue, volume, journal = (blank_node(seed, F.lit(role)) for role in ("issue", "volume", "journal"))
+    iri, issue, volume, journal = F.col("iri"), F.col("_issue_node"), F.col("_volume_node"), F.col("_journal_node")
     no_issue = F.col("journal_issue") == ""
+    issns = F.transform(
+        "issns", lambda i: literal(journal, F.when(i["type"] == "Electronic", T.E_ISSN).otherwise(T.ISSN), i["value"])
+    )
     return F.concat(
         F.array(
             link(iri, T.PART_OF, F.when(no_issue, volume).otherwise(issue)),
@@ -95,10 +101,7 @@ def journal_triples() -> Column:
             literal(journal, T.DCT_TITLE, F.col("journal_title")),
             literal(journal, T.JOURNAL_ABBREVIATION, F.col("journal_abbr")),
         ),
-        F.transform(
-            "issns",
-            lambda i: literal(journal, F.when(i["type"] == "Electronic", T.E_ISSN).otherwise(T.ISSN), i["value"]),
-        ),
+        _distinct_if(F.size("issns") > 1, issns),
         F.when(no_issue, _empty()).otherwise(
             F.array(
                 _typed(issue, T.ISSUE_CLASS),
@@ -111,28 +114,40 @@ def journal_triples() -> Column:
 
 def author_triples() -> Column:
     """The agents, and the ordered list of them that the article's creator points at."""
-    iri, seed = F.col("iri"), F.col("blank_seed")
-
-    def agent(author: Column, i: Column) -> Column:
-        return F.coalesce(first_orcid(author["orcids"]), blank_node(seed, F.lit("author"), i.cast("string")))
-
-    def cell(i: Column) -> Column:
-        return F.when(i < F.size("authors"), blank_node(seed, F.lit("list"), i.cast("string"))).otherwise(T.RDF_NIL)
+    size = F.size("authors")
 
     def describe(author: Column, i: Column) -> Column:
-        node = agent(author, i)
+        node, cell = F.get("_agent_nodes", i), F.get("_list_nodes", i)
         parts = F.array(literal(node, T.FAMILY_NAME, author["family"]), literal(node, T.GIVEN_NAME, author["given"]))
         return F.concat(
             F.array(
                 _typed(node, T.AGENT_CLASS), literal(node, T.NAME, author["name"]),
-                link(cell(i), T.RDF_FIRST, node), link(cell(i), T.RDF_REST, cell(i + 1)),
+                link(cell, T.RDF_FIRST, node), link(cell, T.RDF_REST, F.get("_list_nodes", i + 1)),
             ),
             F.when(author["collective"] == "", parts).otherwise(_empty()),
         )
 
+    agents = F.flatten(F.transform("authors", describe))
+    # Only an author named twice, by the same ORCID, can repeat a statement.
+    repeated = F.size(F.array_distinct("_agent_nodes")) < size
     return F.concat(
-        F.array(link(iri, T.DCT_CREATOR, cell(F.lit(0)))),
-        F.flatten(F.transform("authors", describe)),
+        F.array(link(F.col("iri"), T.DCT_CREATOR, F.get("_list_nodes", F.lit(0)))), _distinct_if(repeated, agents)
+    )
+
+
+def with_nodes(articles: DataFrame) -> DataFrame:
+    """Add the nodes an article's statements refer to, each named once.
+
+    ``_list_nodes`` has one cell per author and ``rdf:nil`` at its end.
+    """
+    seed = F.col("blank_seed")
+    nodes = {r: blank_node(seed, F.lit(r)).alias(f"_{r}_node") for r in ("issue", "volume", "journal")}
+    agents = F.transform(
+        "authors", lambda a, i: F.coalesce(first_orcid(a["orcids"]), blank_node(seed, F.lit("author"), i.cast("string")))
+    )
+    cells = F.transform("authors", lambda a, i: blank_node(seed, F.lit("list"), i.cast("string")))
+    return articles.select(
+        "*", *nodes.values(), agents.alias("_agent_nodes"), F.concat(cells, F.array(F.lit(T.RDF_NIL))).alias("_list_nodes")
     )
 
 
@@ -142,7 +157,8 @@ def date_triples() -> Column:
 
     def dated(column: str, predicate: str) -> Column:
         readable = F.filter(column, lambda d: d["error"].isNull())
-        return F.transform(readable, lambda d: literal(iri, predicate, date_lexical(d), date_xsd_type(d)))
+        statements = F.transform(readable, lambda d: literal(iri, predicate, date_lexical(d), date_xsd_type(d)))
+        return _distinct_if(F.size(column) > 1, statements)
 
     return F.concat(dated("pub_dates", T.DCT_ISSUED), dated("revised_dates", T.DCT_MODIFIED))
 
@@ -171,9 +187,10 @@ def article_triples(articles: DataFrame, groups: tuple[str, ...] = tuple(GROUPS)
     Distinct within each article, as the union of the named groups. The
     datatype is empty unless the object is a literal.
     """
+    if {"journal", "authors"} & set(groups):
+        articles = with_nodes(articles)
     statements = F.concat(*[GROUPS[g]() for g in groups])
-    arrays = articles.select("source_file", _distinct(statements).alias("_t"))
-    return arrays.select("source_file", F.inline("_t")).select(*TRIPLE_COLUMNS, "source_file")
+    return articles.select("source_file", F.inline_outer(statements)).select(*TRIPLE_COLUMNS, "source_file")
 
 
 def reference_triples(term_edges: DataFrame) -> DataFrame:

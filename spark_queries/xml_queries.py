@@ -276,7 +276,7 @@ NTRIPLES_EXPORT = "SELECT '<' || subject || '> <' || predicate || '> ' || CASE W
 
 def ntriples_round_trip(spark, sf_dir):
     """Statements that differ after being written as lines and read again, per side: none."""
-    triples = article_triples(order_articles(spark, sf_dir))
+    triples = _kept(spark, article_triples(order_articles(spark, sf_dir)), "round-trip")
     again = parse_ntriples(ntriples_lines(triples))
     difference = graph_difference(triples, again)
     return difference.agg(F.count("*").alias("n_different"))
