@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("xml_queries",)
+MODULES = ("text_queries", "edge_queries", "xml_queries")
 
 
 def registry() -> dict:
