@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text_queries", "edge_queries", "xml_queries")
+MODULES = (
+    "text_queries", "edge_queries", "xml_queries", "fulltext_queries", "range_queries", "shape_queries", "stream_queries",
+)
 
 
 def registry() -> dict:
