@@ -56,3 +56,14 @@ def spread(df, *keys: str):
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys) if keys else df.repartition(cores)
+
+
+def written(df, label: str = "step"):
+    """Write a frame to the shared folder once and read it back.
+
+    This cuts the lineage: later steps start from files, also after an
+    executor is lost, and nothing is computed twice.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from litmine.functions import article_iri, date_lexical, date_xsd_type
+from litmine.functions import article_iri, date_lexical, date_xsd_type, normalize_orcid
 from litmine.functions import terms as T
 from litmine.operators.articles import date_rejects
 from litmine.operators.chains import author_lists, journal_chain
@@ -12,7 +12,7 @@ from litmine.operators.edges import count_articles_per_term, edges_from_triples
 from litmine.operators.profile import field_counts, sum_field_counts
 from litmine.operators.stats import load_stats, stats_triples
 from litmine.operators.triples import article_triples, graph_difference, triple_summary, with_annotations
-from litmine.session import fresh_path
+from litmine.session import written
 from litmine.sources.articles_xml import CLOSING_TAG
 from litmine.sources.field_counts import parse_count_line
 from litmine.sources.sinks import ntriples_lines
@@ -22,13 +22,6 @@ from spark_queries.tables import ARTICLES_SQL, order_articles, order_records, or
 WITH = "WITH " + ARTICLES_SQL.strip()
 
 
-def _kept(spark, df, label):
-    """Write an intermediate table once to the shared folder and read it back."""
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def xml_articles(spark, sf_dir):
     return order_articles(spark, sf_dir).select(
         "iri", "source_file", "title", "abstract_text", "journal_volume", "journal_issue", "journal_title", "journal_abbr",
@@ -49,12 +42,14 @@ FROM material"""
 
 def partial_date_parse(spark, sf_dir):
     dates = order_articles(spark, sf_dir).select("iri", F.explode("pub_dates").alias("p"))
-    return dates.select("iri", "p.precision", "p.year", "p.month", "p.day", "p.error")
+    texts = [F.coalesce(f"p.{c}", F.lit("")).alias(c) for c in ("precision", "error")]
+    numbers = [F.coalesce(f"p.{c}", F.lit(0)).alias(c) for c in ("year", "month", "day")]
+    return dates.select("iri", *texts, *numbers)
 
 
 PARTIAL_DATE_PARSE = WITH + """
-SELECT iri, pub_precision AS precision, CAST(pub_year AS INTEGER) AS year, CAST(pub_month AS INTEGER) AS month,
-  CAST(pub_day AS INTEGER) AS day, pub_error AS error FROM material"""
+SELECT iri, COALESCE(pub_precision, '') AS precision, CAST(COALESCE(pub_year, 0) AS INTEGER) AS year,
+  CAST(COALESCE(pub_month, 0) AS INTEGER) AS month, CAST(COALESCE(pub_day, 0) AS INTEGER) AS day, COALESCE(pub_error, '') AS error FROM material"""
 
 
 def date_literals(spark, sf_dir):
@@ -77,13 +72,13 @@ SELECT iri, source_file, 'pub_dates' AS field, pub_error AS reason FROM material
 
 
 def orcid_normalize(spark, sf_dir):
-    from litmine.functions import normalize_orcid
-    return table(spark, sf_dir, "customer").select("c_custkey", normalize_orcid(orcid_spelling(F.col("c_custkey"))).alias("orcid"))
+    orcid = normalize_orcid(orcid_spelling(F.col("c_custkey")))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.coalesce(orcid, F.lit("")).alias("orcid"))
 
 
 ORCID_NORMALIZE = """
 SELECT c_custkey, CASE WHEN c_custkey % 8 < 6 THEN 'https://orcid.org/' || substr(code, 1, 4) || '-' || substr(code, 5, 4) || '-' ||
-  substr(code, 9, 4) || '-' || substr(code, 13, 4) END AS orcid
+  substr(code, 9, 4) || '-' || substr(code, 13, 4) ELSE '' END AS orcid
 FROM (SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 16, '0') AS code FROM customer)"""
 
 
@@ -159,7 +154,7 @@ TRIPLES_REFERENCES = WITH + "\nSELECT iri AS subject, 'http://id.nlm.nih.gov/mes
 
 def journal_chains(spark, sf_dir):
     triples = article_triples(order_articles(spark, sf_dir), ("metadata", "journal"))
-    return journal_chain(_kept(spark, triples, "chain"))
+    return journal_chain(written(triples, "chain"))
 
 
 JOURNAL_CHAINS = WITH + "\nSELECT iri AS article, issue, volume, journal, r_name AS abbreviation FROM material"
@@ -180,7 +175,7 @@ SELECT predicate, object, count(*) AS n FROM (
 def author_list_order(spark, sf_dir):
     """Lists are followed from cell to cell; an ORCID shared by articles brings all its names along."""
     triples = article_triples(order_articles(spark, sf_dir), ("authors",))
-    return author_lists(_kept(spark, triples, "lists"))
+    return author_lists(written(triples, "lists"))
 
 
 AUTHOR_LIST_ORDER = WITH + """
@@ -222,7 +217,7 @@ SELECT predicate, object_type, CAST(sum(n) AS BIGINT) AS n, max(n) AS most FROM
 
 def load_statistics(spark, sf_dir):
     """Statements about each file: articles read, and statements made."""
-    articles = _kept(spark, order_articles(spark, sf_dir), "articles")
+    articles = written(order_articles(spark, sf_dir), "articles")
     facts = stats_triples(load_stats(articles, article_triples(articles)))
     return facts.select("subject", "predicate", "object", "datatype")
 
@@ -257,7 +252,7 @@ SELECT iri AS subject, count(*) + 1 AS n FROM mesh GROUP BY 1"""
 
 def edges_per_mesh_term(spark, sf_dir):
     triples = article_triples(order_articles(spark, sf_dir), ("metadata", "mesh"))
-    counts = count_articles_per_term(edges_from_triples(_kept(spark, triples, "edges")))
+    counts = count_articles_per_term(edges_from_triples(written(triples, "edges")))
     return counts.select("term", "n_articles")
 
 
@@ -276,7 +271,7 @@ NTRIPLES_EXPORT = "SELECT '<' || subject || '> <' || predicate || '> ' || CASE W
 
 def ntriples_round_trip(spark, sf_dir):
     """Statements that differ after being written as lines and read again, per side: none."""
-    triples = _kept(spark, article_triples(order_articles(spark, sf_dir)), "round-trip")
+    triples = written(article_triples(order_articles(spark, sf_dir)), "round-trip")
     again = parse_ntriples(ntriples_lines(triples))
     difference = graph_difference(triples, again)
     return difference.agg(F.count("*").alias("n_different"))
