@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 def pending_inputs(inputs: DataFrame, done: DataFrame, key: str, size: str | None = None) -> DataFrame:
     """Inputs without a completed output; with ``size``, an empty output does not count as done."""
     finished = done.where(F.col(size) > 0) if size else done
-    return inputs.join(finished.select(key), key, "left_anti")
+    return inputs.join(finished.select(key).distinct(), key, "left_anti")
 
 
 def restrict_to_ids(inputs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Inputs whose id is in the id table."""
-    return inputs.join(ids.select(key), key, "left_semi")
+    return inputs.join(ids.select(key).distinct(), key, "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from litmine.session import fresh_path
+from litmine.session import fresh_path, written
 
 
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
@@ -21,7 +21,8 @@ def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     sizes = tagged.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_local").alias("_first"))
     earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    numbered = tagged.join(starts, ["_file", "_block"])
+    # Written first, so that its true size decides how it is joined.
+    numbered = tagged.join(written(starts, "splits"), ["_file", "_block"])
     return numbered.select(
         *[F.col(c) for c in df.columns], (F.col("_start") + F.col("_local") - F.col("_first")).alias(name)
     )

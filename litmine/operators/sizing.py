@@ -18,6 +18,11 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= limit
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a table for broadcasting after measuring it; leave it to a shuffle otherwise."""
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str, salt: int) -> DataFrame:
     """Inner equi-join where the left keys may be heavily skewed.
 
