@@ -190,7 +190,10 @@ def article_triples(articles: DataFrame, groups: tuple[str, ...] = tuple(GROUPS)
     if {"journal", "authors"} & set(groups):
         articles = with_nodes(articles)
     statements = F.concat(*[GROUPS[g]() for g in groups])
-    return articles.select("source_file", F.inline_outer(statements)).select(*TRIPLE_COLUMNS, "source_file")
+    # The outer generator keeps Spark from testing the array's size, which would
+    # build it twice; an article without statements gives one empty row to drop.
+    rows = articles.select("source_file", F.inline_outer(statements)).where(F.col("subject").isNotNull())
+    return rows.select(*TRIPLE_COLUMNS, "source_file")
 
 
 def reference_triples(term_edges: DataFrame) -> DataFrame:

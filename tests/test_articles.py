@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from litmine.functions import terms as T
 from litmine.operators.articles import articles_from_parsed, date_rejects, malformed_records, parse_records
 from litmine.operators.stats import load_stats, stats_triples
-from litmine.operators.triples import article_triples, graph_difference, triple_summary, with_annotations
+from litmine.operators.triples import GROUPS, article_triples, graph_difference, triple_summary, with_annotations
 from litmine.sources.articles_xml import read_article_records
 
 FIXTURE = Path(__file__).parent / "fixtures" / "articles.xml"
@@ -164,6 +164,14 @@ def test_no_authors_no_issue_two_page_ranges(triples):
     assert values(rows, PUBMED + "15517475", T.DCT_ISSUED) == []
 
 
+def test_single_groups(articles, triples):
+    """Every group on its own, also where some articles have none of it."""
+    groups = [article_triples(articles, (g,)) for g in GROUPS]
+    assert sum(g.count() for g in groups) == triples.count()
+    references = article_triples(articles, ("mesh",)).collect()
+    assert len(references) == 9 and all(r.subject for r in references)
+
+
 def test_summary(triples):
     got = {(r.predicate, r.object_type): r.n for r in triple_summary(triples).collect() if r.subject == PUBMED + "11237011"}
     assert got == {
