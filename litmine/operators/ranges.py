@@ -10,37 +10,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from litmine.session import written
+
 BUCKET_BITS = 16
-LEVELS = 4  # 4 x 16 bits cover every non-negative bigint
 
 
-def _running_before(keyed: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def _largest(keyed: DataFrame, key: str) -> int:
+    return keyed.agg(F.max(key)).first()[0] or 0
+
+
+def _running_before(keyed: DataFrame, key: str, value: str, out: str, largest: int) -> DataFrame:
     """Add the maximum of ``value`` over all smaller keys (NULL for the first).
 
-    ``keyed`` has one row per key, keys are non-negative. Every window
+    ``keyed`` has one row per key, keys lie in ``[0, largest]``. Every window
     partition is one bucket of 2^16 keys; a bucket's carry-in is the running
-    maximum of the buckets before it, found the same way one level up.
+    maximum of the buckets before it, found the same way one level up, until
+    one bucket is left.
     """
-    def up(df: DataFrame, level: int, column: str) -> DataFrame:
+    def up(df: DataFrame, top: int, column: str) -> DataFrame:
         bucket = F.shiftright(F.col("_k"), BUCKET_BITS).alias("_b")
         before = Window.partitionBy("_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
         local = df.select("*", bucket).withColumn("_in", F.max(column).over(before))
-        if level == LEVELS:
+        if top >> BUCKET_BITS == 0:
             return local.withColumn(out, F.col("_in")).drop("_in", "_b")
         totals = df.groupBy(bucket.alias("_k")).agg(F.max(column).alias("_m"))
-        carry = up(totals, level + 1, "_m").select(F.col("_k").alias("_b"), F.col(out).alias("_carry"))
+        carry = up(totals, top >> BUCKET_BITS, "_m").select(F.col("_k").alias("_b"), F.col(out).alias("_carry"))
         return local.join(carry, "_b").withColumn(out, F.greatest("_in", "_carry")).drop("_in", "_carry", "_b")
 
-    return up(keyed.withColumn("_k", F.col(key)), 1, value).drop("_k")
+    return up(keyed.withColumn("_k", F.col(key)), largest, value).drop("_k")
 
 
-def _next_key(keyed: DataFrame, key: str, out: str) -> DataFrame:
-    """Add the next larger key (NULL for the last); as above, bucket by bucket."""
-    largest = F.lit(2**63 - 1)
-    mirrored = keyed.withColumn("_mirror", largest - F.col(key)).withColumn("_negative", -F.col(key))
-    return _running_before(mirrored, "_mirror", "_negative", "_nearest").withColumn(out, -F.col("_nearest")).drop(
-        "_mirror", "_negative", "_nearest"
-    )
+def _next_key(keyed: DataFrame, key: str, out: str, largest: int) -> DataFrame:
+    """Add the next larger key (NULL for the last); as above, from the other end."""
+    mirrored = keyed.withColumn("_mirror", F.lit(largest).cast("long") - F.col(key)).withColumn("_negative", -F.col(key))
+    nearest = _running_before(mirrored, "_mirror", "_negative", "_nearest", largest)
+    return nearest.withColumn(out, -F.col("_nearest")).drop("_mirror", "_negative", "_nearest")
 
 
 def range_gaps(ranges: DataFrame, n_rows: int | DataFrame, mode: str = "covered") -> DataFrame:
@@ -60,14 +64,14 @@ def range_gaps(ranges: DataFrame, n_rows: int | DataFrame, mode: str = "covered"
     starts = longs.unionByName(bounds).unionByName(tail)
     if mode == "covered":
         # One row per start is enough: only how far its ranges reach matters.
-        keyed = starts.groupBy("from_row").agg(F.max("until_row").alias("until_row"))
-        reached = _running_before(keyed, "from_row", "until_row", "_reach")
+        keyed = written(starts.groupBy("from_row").agg(F.max("until_row").alias("until_row")), "starts")
+        reached = _running_before(keyed, "from_row", "until_row", "_reach", _largest(keyed, "from_row"))
         gaps = reached.select(F.coalesce("_reach", F.lit(0).cast("long")).alias("from_row"), F.col("from_row").alias("until_row"))
     else:
         # Ranges with the same start leave no gap between them; the last one
         # of a start, which reaches furthest, is followed by the next start.
-        keyed = starts.groupBy("from_row").agg(F.max("until_row").alias("_last"))
-        following = _next_key(keyed, "from_row", "_next")
+        keyed = written(starts.groupBy("from_row").agg(F.max("until_row").alias("_last")), "starts")
+        following = _next_key(keyed, "from_row", "_next", _largest(keyed, "from_row"))
         gaps = following.where(F.col("_next").isNotNull()).select(
             F.col("_last").alias("from_row"), F.col("_next").alias("until_row")
         )
@@ -172,14 +176,15 @@ def fixed_chunks(n_rows: DataFrame, max_task: int) -> DataFrame:
 
 def islands(rows: DataFrame, key: str) -> DataFrame:
     """The completed ranges that a set of distinct row numbers forms."""
-    keyed = rows.select(F.col(key).cast("long").alias("_row")).distinct()
-    before = _running_before(keyed, "_row", "_row", "_previous")
-    after = _next_key(keyed, "_row", "_following")
+    keyed = written(rows.select(F.col(key).cast("long").alias("_row")).distinct(), "rows")
+    largest = _largest(keyed, "_row")
+    before = _running_before(keyed, "_row", "_row", "_previous", largest)
+    after = _next_key(keyed, "_row", "_following", largest)
     starts = before.where(F.col("_previous").isNull() | (F.col("_previous") < F.col("_row") - 1)).select(F.col("_row").alias("from_row"))
     ends = after.where(F.col("_following").isNull() | (F.col("_following") > F.col("_row") + 1)).select((F.col("_row") + 1).alias("until_row"))
     # The end of an island is the first end after its start.
     marks = starts.select(F.col("from_row").alias("_at"), F.lit(True).alias("_is_start")).unionByName(
         ends.select(F.col("until_row").alias("_at"), F.lit(False).alias("_is_start"))
     )
-    placed = _next_key(marks, "_at", "_until")
+    placed = _next_key(written(marks, "marks"), "_at", "_until", largest + 1)
     return placed.where("_is_start").select(F.col("_at").alias("from_row"), F.col("_until").alias("until_row"))
