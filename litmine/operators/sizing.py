@@ -11,9 +11,15 @@ ROW_OVERHEAD = 64
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure a table (one aggregate, one row back) against a broadcast limit."""
-    text = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c, t in df.dtypes if t == "string"]
-    fixed = ROW_OVERHEAD + 8 * (len(df.columns) - len(text))
-    width = sum(text, F.lit(fixed).cast("long"))
+    width = F.lit(ROW_OVERHEAD).cast("long")
+    for name, kind in df.dtypes:
+        size = F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+        if kind == "string":
+            width = width + size
+        elif kind.startswith(("array", "map", "struct")):
+            width = width + size * 4  # a generous allowance over the printed form
+        else:
+            width = width + 8
     total = df.agg(F.sum(width)).first()[0]
     return (total or 0) <= limit
 

@@ -53,10 +53,10 @@ INLINE_MARKUP = r"</?(?:b|i|u|sub|sup|DispFormula|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>
 def read_chunks(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``(source_file, chunk)``: file text cut after every closing record tag.
 
-    A directory is listed without its sub-folders; ``glob`` defaults to
-    compressed XML there (give ``None`` together with a file path). Plain
-    files are split; compressed files are one task each and are spread over
-    the cores right after the scan.
+    A directory is listed without its sub-folders; give ``glob``
+    (``*.xml.gz``) to choose the files in it. Plain files are split;
+    compressed files are one task each and are spread over the cores right
+    after the scan.
     """
     reader = spark.read.option("lineSep", CLOSING_TAG)
     if glob:
