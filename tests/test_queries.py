@@ -10,6 +10,7 @@ duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as entry_module  # noqa: E402
 from check import TABLES, rows  # noqa: E402
+from spark_queries.registry import registry  # noqa: E402
 
 SF_DIR = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="driver tables not there")
@@ -23,7 +24,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(registry()))
 def test_query(spark, db, name):
     got = entry_module.queries()[name](spark, str(SF_DIR)).toPandas()
     want = db.execute(entry_module.oracle_sql()[name]).df()
