@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from litmine.llm import sql
+from litmine.llm.line_quality import line_quality
 from litmine.llm.jaccard_join import jaccard_components
+from litmine.llm.substring_dedup import substring_dedup
 from litmine.llm.tables import documents
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(documents(spark, sf_dir), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality(documents(spark, sf_dir))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), gram=4, percent=85)
 
 
 QUERIES = {
+    "op8_substring_dedup": (op8_substring_dedup, sql.SUBSTRING),
+    "op9_quality_rules": (op9_quality_rules, sql.QUALITY),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, sql.JACCARD),
 }

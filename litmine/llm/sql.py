@@ -26,3 +26,50 @@ links AS (
 SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.at) AS component_id
 FROM reach AS r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
+
+SUBSTRING = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+place AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+win AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS g FROM place WHERE i + 19 <= len(words)),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM ranked WHERE r > 1),
+kept AS (
+    SELECT p.doc_id, string_agg(words[p.i], ' ' ORDER BY p.i) AS text, count(*) AS n
+    FROM place AS p ANTI JOIN gone ON p.doc_id = gone.doc_id AND p.i = gone.i GROUP BY p.doc_id
+)
+SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+QUALITY = f"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM documents
+), gram AS (
+    SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, unnest([array_to_string(words[k:k + 4], ' ') for k in range(1, len(words) - 3)]) AS g FROM d
+), again AS (
+    SELECT doc_id, count(DISTINCT pos) AS n FROM (
+        SELECT doc_id, unnest(range(i, i + 5)) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM gram) WHERE c > 1
+    ) GROUP BY doc_id
+), base AS (
+    SELECT d.doc_id, source, text, lines, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(n, 0) AS n_repeat_words
+    FROM d LEFT JOIN again ON d.doc_id = again.doc_id
+), each AS (
+    SELECT doc_id, source, text, len(regexp_extract_all(line, '{WORD}')) AS n,
+        array_to_string(regexp_extract_all(regexp_replace({LOWER.replace("text", "line")}, '[0-9]', '0', 'g'), '{WORD}'), ' ') AS line
+    FROM (SELECT doc_id, source, text, unnest(lines) AS line FROM base)
+), hosts AS (SELECT source, count(DISTINCT text) AS c FROM base GROUP BY source),
+above AS (
+    SELECT e.source, line FROM each AS e JOIN hosts AS h ON e.source IS NOT DISTINCT FROM h.source
+    GROUP BY e.source, line, h.c HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.05 * h.c
+), removed AS (
+    SELECT e.doc_id, sum(n)::BIGINT AS n FROM each AS e SEMI JOIN above AS a ON e.source IS NOT DISTINCT FROM a.source AND e.line = a.line GROUP BY e.doc_id
+), judged AS (
+    SELECT base.*, coalesce(removed.n, 0) AS removed_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+    FROM base LEFT JOIN removed ON base.doc_id = removed.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed,
+    NOT base_failed AND n_words - removed_words >= 10 AND n_words - removed_words >= 0.3 * n_words AS kept FROM judged
+"""
