@@ -6,12 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litmine.llm import sql
+from litmine.llm.host_reputation import judge_urls
 from litmine.llm.line_quality import line_quality
+from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
 from litmine.llm.substring_dedup import substring_dedup
 from litmine.llm.tables import documents
 
 
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's number in its url is the document it shows; a document is bad if it is toxic or of low quality."""
+    pages, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("pages", "labels"))
+    shown = pages.select("url", F.regexp_extract("url", "://[^/?#]*/[a-z]+/([0-9]+)", 1).try_cast("long").alias("doc_id"))
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    outcomes = shown.join(labels.select("doc_id", bad.alias("bad")), "doc_id").select("url", "bad")
+    return judge_urls(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, most=2)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(documents(spark, sf_dir), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -26,6 +46,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_filters": (op2_url_filters, sql.HOSTS),
+    "op3_source_mix": (op3_source_mix, sql.MIX),
     "op8_substring_dedup": (op8_substring_dedup, sql.SUBSTRING),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, sql.JACCARD),

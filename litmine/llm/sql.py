@@ -73,3 +73,71 @@ above AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed,
     NOT base_failed AND n_words - removed_words >= 10 AND n_words - removed_words >= 0.3 * n_words AS kept FROM judged
 """
+
+MIX = f"""
+WITH s AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size, md5('mix ' || coalesce(doc_id::VARCHAR, 'null')) AS h
+    FROM documents
+), c AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place FROM s GROUP BY source
+), w AS (SELECT *, [3, 1, 2][place % 3 + 1]::DOUBLE AS weight, (source_size * 2)::DOUBLE AS cap FROM c),
+l AS (
+    SELECT *, cap / weight AS reached,
+        (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER o, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER o, 0)) AS level
+    FROM w WINDOW o AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), free AS (SELECT level FROM l WHERE level <= reached ORDER BY reached, place LIMIT 1),
+t AS (SELECT source, source_size, least(cap, coalesce((SELECT level FROM free) * weight, cap)) AS target FROM l),
+p AS (
+    SELECT doc_id, size, source_size, target, coalesce(sum(size) OVER (
+        PARTITION BY s.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos, floor(target + 0.5) AS stop
+    FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+    (greatest(least(pos + size, stop) - pos, 0) + greatest(least(source_size + pos + size, stop) - source_size - pos, 0))::BIGINT AS taken FROM p
+"""
+
+_RULES = "(VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block'))"
+
+
+def _level(name: str, keys: list[str], above: str) -> str:
+    """The posteriors of one level of hosts from those above it."""
+    by = ", ".join(keys)
+    prior = f"a.mean AS prior FROM counts AS c JOIN {above} AS a ON {' AND '.join(f'c.{k} = a.{k}' for k in keys[:-1]) or 'true'}"
+    return f"""
+{name}_n AS (SELECT {', '.join('c.' + k for k in keys)}, sum(c.n) AS n, sum(c.k) AS k, {prior} GROUP BY ALL),
+{name}_v AS (
+    SELECT sum((k - n * prior) * (k - n * prior)) AS square, sum(n * prior * (1 - prior)) AS plain,
+        sum(n * prior * (1 - prior) * (n - 1)) AS pairs FROM {name}_n
+), {name}_r AS (
+    SELECT CASE WHEN coalesce(pairs, 0) = 0 THEN 0.5::DOUBLE ELSE least(greatest((square - plain) / pairs, 1e-3::DOUBLE), 0.9::DOUBLE) END AS rho FROM {name}_v
+), {name}_w AS (SELECT (1 - rho) / rho AS weight FROM {name}_r),
+{name} AS (
+    SELECT {by}, (k + weight * prior) / (n + weight) AS mean, mean - 2 * sqrt(mean * (1 - mean) / (n + weight + 1)) AS bound FROM {name}_n, {name}_w
+)"""
+
+
+HOSTS = rf"""
+WITH parts AS (
+    SELECT page_id, url, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+    FROM (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)
+), p AS (
+    SELECT *, string_split(host, '.') AS labels, labels[-1] AS suffix, array_to_string(labels[-2:], '.') AS domain FROM parts
+), outcomes AS (
+    SELECT suffix, domain, host, (quality = 0 OR toxic = 1)::INT AS bad
+    FROM p JOIN labels AS l ON l.doc_id = try_cast(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1) AS BIGINT)
+), counts AS (SELECT suffix, domain, host, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS k FROM outcomes WHERE bad IS NOT NULL GROUP BY ALL),
+overall AS (SELECT (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean, mean - 2 * sqrt(mean * (1 - mean) / (coalesce(sum(n), 0) + 3)) AS bound FROM counts),
+{_level('s', ['suffix'], 'overall')},
+{_level('d', ['suffix', 'domain'], 's')},
+{_level('h', ['suffix', 'domain', 'host'], 'd')},
+rules AS (SELECT col0 AS rhost, col1 AS rpath, col2 AS rverdict FROM {_RULES}),
+fit AS (
+    SELECT page_id, url, first(rhost || rpath ORDER BY length(rhost || rpath) DESC) AS rule, first(rverdict ORDER BY length(rhost || rpath) DESC) AS rverdict
+    FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id, url
+)
+SELECT p.page_id, p.host, p.path, fit.rule,
+    coalesce(fit.rverdict, CASE WHEN coalesce(h.bound, d.bound, s.bound, o.bound) > 0.25 THEN 'block' ELSE 'allow' END) AS verdict
+FROM p CROSS JOIN overall AS o LEFT JOIN h ON p.host = h.host LEFT JOIN d ON p.domain = d.domain LEFT JOIN s ON p.suffix = s.suffix
+    LEFT JOIN fit ON p.page_id = fit.page_id AND p.url = fit.url
+"""
