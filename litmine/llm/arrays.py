@@ -21,6 +21,10 @@ U64 = np.uint64
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+DIGIT = np.zeros(256, bool)
+DIGIT[48:58] = True
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -98,9 +102,9 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds - bounds[0]
 
 
-def find_words(data: np.ndarray, bounds: np.ndarray, outside: np.ndarray = SPACE) -> Words:
-    """Runs of bytes that ``outside`` does not hold, never across two texts."""
-    inside = ~outside[data]
+def find_words(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray | None = None) -> Words:
+    """Runs of bytes that are ``inside`` (by default no white space), never across two texts."""
+    inside = ~SPACE[data] if inside is None else inside
     before, after = np.empty_like(inside), np.empty_like(inside)
     if len(inside):
         before[0], before[1:] = False, inside[:-1]
@@ -117,6 +121,16 @@ def lower(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """A-Z and the letters U+00C0 to U+00DE of UTF-8 in lower case."""
+    data = lower(data)
+    if len(data) > 1:
+        wide = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        data = data.copy()
+        data[1:][wide] += np.uint8(0x20)
+    return data
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of a batch with about ``limit`` bytes of text, with those bytes and their bounds."""
     data, bounds = texts_of(batch.column(batch.schema.get_field_index(column)))

@@ -12,6 +12,8 @@ from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
 from litmine.llm.substring_dedup import substring_dedup
 from litmine.llm.tables import documents
+from litmine.llm.template_decontamination import template_matches
+from litmine.llm.toxicity import fit_toxicity, score_toxicity
 
 
 URL_RULES = [
@@ -32,6 +34,23 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, most=2)
 
 
+def held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_toxicity(docs, labels.where(~held_out()))
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item in it."""
+    found = template_matches(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(documents(spark, sf_dir), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -48,6 +67,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_url_filters": (op2_url_filters, sql.HOSTS),
     "op3_source_mix": (op3_source_mix, sql.MIX),
+    "op5_toxicity": (op5_toxicity, None),
+    "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_substring_dedup": (op8_substring_dedup, sql.SUBSTRING),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, sql.JACCARD),
