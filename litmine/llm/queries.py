@@ -12,7 +12,9 @@ from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
 from litmine.llm.substring_dedup import substring_dedup
 from litmine.llm.tables import documents
+from litmine.session import fresh_path
 from litmine.llm.template_decontamination import template_matches
+from litmine.llm.token_shards import read_shards, write_shards
 from litmine.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -34,6 +36,14 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir), weights=(3, 1, 2), share=1.5, most=2)
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of the shards written to the shared folder, each record compared with what was read back."""
+    path = fresh_path(spark, "shards")
+    index = write_shards(documents(spark, sf_dir), path, length=1024, per_shard=4096, key=2024)
+    back = read_shards(spark, path, length=1024).select("slot", F.col("crc").alias("_crc"))
+    return index.join(back, "slot", "left").withColumn("read_back", F.coalesce(F.col("crc") == F.col("_crc"), F.lit(False))).drop("_crc")
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -67,6 +77,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_url_filters": (op2_url_filters, sql.HOSTS),
     "op3_source_mix": (op3_source_mix, sql.MIX),
+    "op4_token_shards": (op4_token_shards, None),
     "op5_toxicity": (op5_toxicity, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_substring_dedup": (op8_substring_dedup, sql.SUBSTRING),
