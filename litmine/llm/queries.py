@@ -11,6 +11,7 @@ from litmine.llm.line_quality import line_quality
 from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
 from litmine.llm.substring_dedup import substring_dedup
+from litmine.llm.surrogates import with_surrogates
 from litmine.llm.tables import documents
 from litmine.session import fresh_path
 from litmine.llm.template_decontamination import template_matches
@@ -55,6 +56,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_surrogates(documents(spark, sf_dir).select("doc_id", "text"), key=b"corpus key")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item in it."""
     found = template_matches(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -79,6 +84,7 @@ QUERIES = {
     "op3_source_mix": (op3_source_mix, sql.MIX),
     "op4_token_shards": (op4_token_shards, None),
     "op5_toxicity": (op5_toxicity, None),
+    "op6_surrogates": (op6_surrogates, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_substring_dedup": (op8_substring_dedup, sql.SUBSTRING),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY),
