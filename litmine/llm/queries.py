@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from litmine.llm import sql
 from litmine.llm.host_reputation import judge_urls
+from litmine.llm.line_dedup import line_dedup
 from litmine.llm.line_quality import line_quality
 from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
@@ -24,6 +25,11 @@ URL_RULES = [
 ]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(documents(spark, sf_dir), tau=2, min_chars=40)
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's number in its url is the document it shows; a document is bad if it is toxic or of low quality."""
     pages, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("pages", "labels"))
@@ -80,6 +86,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": (op1_line_dedup, None),
     "op2_url_filters": (op2_url_filters, sql.HOSTS),
     "op3_source_mix": (op3_source_mix, sql.MIX),
     "op4_token_shards": (op4_token_shards, None),
