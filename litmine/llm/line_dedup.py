@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from litmine.llm import arrays as A
 from litmine.llm.components import cluster
-from litmine.llm.tables import bucket_count, id_or_last, id_or_null, packed_texts, unpacked
+from litmine.llm.tables import NO_ID, bucket_count, id_or_last, id_or_null, packed_texts, unpacked
 from litmine.session import written
 
 FLUSH = 1 << 18
@@ -117,7 +117,7 @@ def find_lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     first, last = np.searchsorted(words.start, start), np.searchsorted(words.start, end)
     full = np.flatnonzero(last > first)
     row = words.rows()[first[full]]
-    number = full - np.searchsorted(start, bounds[row], "left")
+    number = full - row - np.searchsorted(at, bounds[row], "left")
     return row, number, words.start[first[full]], words.end[last[full] - 1]
 
 
@@ -299,5 +299,6 @@ def line_dedup(docs: DataFrame, tau: int = 2, min_chars: int = 40) -> DataFrame:
 
     result = joined.mapInArrow(cut, schema)
     return result.select(
-        id_or_null("doc").alias("doc_id"), "n_lines", "n_removed", "removed", "copied_from", F.col("kept").cast("string").alias("kept")
+        id_or_null("doc").alias("doc_id"), "n_lines", "n_removed", "removed",
+        F.transform("copied_from", lambda i: F.when(i != NO_ID, i)).alias("copied_from"), F.col("kept").cast("string").alias("kept")
     )
