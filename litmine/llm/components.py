@@ -39,22 +39,22 @@ def connected(links: DataFrame) -> DataFrame:
 def cluster(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Callable | None = None) -> DataFrame:
     """Components of the rows that ``verify`` links, among rows that share a key.
 
-    ``keys (k, id, size, score, lead)``: a pair is to be tried if both share a ``k`` and one
-    of them leads there. ``near(size, size)`` may rule pairs out. ``verify(pairs (a, b))``
+    ``keys (k, id, size, missed, score, lead)``: a pair is to be tried if both share a ``k`` and one
+    of them leads there. ``near(size, missed, size, missed)`` may rule a pair out at one key, but not at all keys of a linked pair. ``verify(pairs (a, b))``
     returns the linked ones. Which rows are connected comes out exactly, but not every pair
     is looked at: members of a key are first tried against its best-scored leading row, and
     further pairs only while their ends lie in different components. Columns ``id``, ``label``
     of the rows that have a link.
     """
-    near = near or (lambda a, b: F.lit(True))
+    near = near or (lambda *_: F.lit(True))
     shared = keys.groupBy("k").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("lead"), F.struct("score", "id", "size"))).alias("p")
+        F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("lead"), F.struct("score", "id", "size", "missed"))).alias("p")
     ).where("n > 1 AND p IS NOT NULL")
-    pivots = written(shared.select("k", F.col("p.id").alias("pivot"), F.col("p.size").alias("pivot_size")), "pivots")
+    pivots = written(shared.select("k", F.col("p.id").alias("pivot"), F.col("p.size").alias("pivot_size"), F.col("p.missed").alias("pivot_missed")), "pivots")
     members = written(keys.join(pivots.select("k"), "k"), "members")
     pair = [F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")]
     star = written(
-        members.join(pivots, "k").where((F.col("id") != F.col("pivot")) & near(F.col("size"), F.col("pivot_size")))
+        members.join(pivots, "k").where((F.col("id") != F.col("pivot")) & near(F.col("size"), F.col("missed"), F.col("pivot_size"), F.col("pivot_missed")))
         .groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n")), "star",
     )
     first = star.groupBy("id").agg(F.max(F.struct("n", "pivot")).alias("p")).select("id", "p.pivot").select(*pair).distinct()
@@ -75,11 +75,11 @@ def cluster(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Cal
     marked = label_of(members, "id", "x")
     open_keys = marked.groupBy("k").agg(F.min("x").alias("x"), F.max("x").alias("y")).where("x != y").select("k")
     rest = written(marked.join(open_keys, "k", "left_semi"), "open")
-    left = rest.select("k", F.col("id").alias("a"), F.col("x").alias("xa"), F.col("size").alias("sa"), F.col("lead").alias("la"))
-    right = rest.select("k", F.col("id").alias("b"), F.col("x").alias("xb"), F.col("size").alias("sb"), F.col("lead").alias("lb"))
+    left = rest.select("k", F.col("id").alias("a"), F.col("x").alias("xa"), F.col("size").alias("sa"), F.col("missed").alias("ma"), F.col("lead").alias("la"))
+    right = rest.select("k", F.col("id").alias("b"), F.col("x").alias("xb"), F.col("size").alias("sb"), F.col("missed").alias("mb"), F.col("lead").alias("lb"))
     third = (
         left.join(right, "k").where((F.col("a") < F.col("b")) & (F.col("xa") != F.col("xb")) & (F.col("la") | F.col("lb")))
-        .where(near(F.col("sa"), F.col("sb"))).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        .where(near(F.col("sa"), F.col("ma"), F.col("sb"), F.col("mb"))).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     )
     third = written(third, "tried")
     if not third.isEmpty():

@@ -43,6 +43,7 @@ from litmine.session import written
 FLUSH = 1 << 20
 HOT_IN_FLUSH, HOT = 64, 65535
 LIST_COST = 4
+PARTS = "part int, " + ", ".join(f"{c} binary" for c in "abcdefg")
 EXCHANGE = "bucket int, kind int, keys binary, a binary, b binary, c binary, d binary, e binary"
 
 
@@ -53,6 +54,28 @@ def _rows(values: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
+def _dealt(columns: list[np.ndarray], parts: int, lists: list[np.ndarray] = ()) -> pa.Table:
+    """Rows of keyed numbers as one row per part of the keys; ``lists`` hold ``columns[2]`` elements for each row."""
+    part = A.bucket_of(A.mix(columns[0].view(A.U64)), parts)
+    order = np.argsort(part, kind="stable")
+    ends = np.concatenate(([0], np.cumsum(columns[2]))) if lists else None
+    rows = []
+    for s, n in zip(*A.runs(part[order])):
+        of = order[s : s + n]
+        held = [c[of].tobytes() for c in columns]
+        if lists:
+            of = np.concatenate([np.arange(ends[i], ends[i + 1]) for i in of])
+            held += [x[of].tobytes() for x in lists]
+        rows.append((int(part[order[s]]), *held, *[b""] * (7 - len(held))))
+    names = ["part", *"abcdefg"]
+    values = list(zip(*rows)) if rows else [()] * 8
+    return pa.table([pa.array(v, pa.int32() if i == 0 else pa.binary()) for i, v in enumerate(values)], names=names)
+
+
+def _joined(table: pa.Table, kinds: list) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(table.column(x).to_pylist()), k) for x, k in zip("abcdefg", kinds)]
+
+
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct element hashes of each text of a chunk, one after another, and how many each has."""
     words = A.find_words(A.lower(data), bounds)
@@ -110,16 +133,13 @@ def _summaries(docs: DataFrame, gram: int, buckets: int) -> DataFrame:
                 out.append((int(bucket[s]), 0, keys.tobytes(), low[s : s + n].tobytes(), holder[s : s + n].tobytes(), b"", b"", b""))
             yield _rows(out)
 
-    result = "key long, doc long, n long, known long, set_a long, set_b long, copies long"
-    schema = pa.schema([(c.split()[0], pa.int64()) for c in result.split(", ")])
-
     def count(table: pa.Table) -> pa.Table:
         lows, holders, parts = [], [], []
         for r in table.to_pylist():
             keys = np.frombuffer(r["keys"], np.int64)
             if r["kind"]:
-                c = [np.frombuffer(r[x], np.int64) for x in "abcde"]
-                parts.append((keys, c[4], c[0], c[1], c[2], c[3], np.ones(len(keys), np.int64), np.ones(len(keys), bool)))
+                n, known, set_a, set_b, ids = (np.frombuffer(r[x], np.int64) for x in "abcde")
+                parts.append((keys, ids, n, known, set_a, set_b, np.ones(len(keys), np.int64)))
                 continue
             lows.append(np.frombuffer(r["a"], np.uint32))
             place = np.frombuffer(r["b"], np.uint32)
@@ -132,18 +152,24 @@ def _summaries(docs: DataFrame, gram: int, buckets: int) -> DataFrame:
             repeated = order[np.repeat(length > 1, length)]
             found, times = np.unique(holder[repeated][named[repeated]], return_counts=True)
             none = np.zeros(len(found), np.int64)
-            parts.append((found, none, none, times, none, none, none, none.astype(bool)))
-        if not parts:
+            parts.append((found, none, none, times, none, none, none))
+        return _dealt([np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.int64)] * 7, buckets)
+
+    result = "key long, doc long, n long, known long, set_a long, set_b long, copies long"
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in result.split(", ")])
+
+    def gather(table: pa.Table) -> pa.Table:
+        key, doc, n, known, set_a, set_b, copies = _joined(table, [np.int64] * 7)
+        order = np.lexsort((-copies, key))  # a row's summary before its further counts
+        start, length = A.runs(key[order])
+        if not len(start):
             return schema.empty_table()
-        columns = [np.concatenate(x) for x in zip(*parts)]
-        absent = ~columns.pop()
-        return pa.table([pa.array(c, mask=absent if i in (1, 4, 5) else None) for i, c in enumerate(columns)], schema=schema)
-
-    counted = docs.mapInArrow(scan, EXCHANGE).groupBy("bucket").applyInArrow(count, result)
-    return counted.groupBy("key").agg(
-        F.max("doc").alias("doc"), F.max("n").alias("n"), F.sum("known").alias("known"), F.max("set_a").alias("set_a"),
-        F.max("set_b").alias("set_b"), F.sum("copies").alias("copies"),
-    )
+        head = order[start]
+        sums = [np.add.reduceat(x[order], start) for x in (known, copies)]
+        return pa.table([key[head], doc[head], n[head], sums[0], set_a[head], set_b[head], sums[1]], schema=schema)
+
+    counted = docs.mapInArrow(scan, EXCHANGE).groupBy("bucket").applyInArrow(count, PARTS)
+    return counted.groupBy("part").applyInArrow(gather, result)
 
 
 def _ordered_sets(docs: DataFrame, gram: int, percent: int, buckets: int) -> DataFrame:
@@ -172,8 +198,6 @@ def _ordered_sets(docs: DataFrame, gram: int, percent: int, buckets: int) -> Dat
                 out.append((int(bucket[s]), 0, *head, entries[s : s + n].tobytes(), holder[s : s + n].tobytes(), b"", b""))
             yield _rows(out)
 
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("df", pa.binary())])
-
     def count(table: pa.Table) -> pa.Table:
         h, k, n, named, known = [], [], [], [], []
         for r in table.to_pylist():
@@ -194,31 +218,29 @@ def _ordered_sets(docs: DataFrame, gram: int, percent: int, buckets: int) -> Dat
             df[idx] = np.repeat(np.where(some_hot, HOT, np.minimum(length, HOT - 1)), length)
         keep = np.flatnonzero(named & (df > 1))
         keep = keep[np.argsort(k[keep], kind="stable")]
-        h, k, n, df = h[keep], k[keep], n[keep], df[keep].astype(np.uint16)
-        start, length = A.runs(k)
-        ends = start + length
+        start, length = A.runs(k[keep])
+        return _dealt([k[keep][start], n[keep][start], length], buckets, [h[keep], df[keep].astype(np.uint16)])
+
+    result = "key long, n long, hashes binary, one long, two long, unseen long"
+    schema = pa.schema([(c.split()[0], pa.binary() if "binary" in c else pa.int64()) for c in result.split(", ")])
+
+    def gather(table: pa.Table) -> pa.Table:
+        key, n, length, h, df = _joined(table, [np.int64] * 3 + [A.U64, np.uint16])
+        owner, place = np.unique(key, return_inverse=True)
+        size = np.zeros(len(owner), np.int64)
+        size[place] = n
+        element = np.repeat(place, length)
+        order = np.lexsort((h, df, element))
+        h, cut = h[order], np.searchsorted(element[order], np.arange(len(owner) + 1))
+        seen = np.diff(cut)
+        spare = size - -(-percent * size // 100) - (size - seen)  # elements that may be missing, without those seen once
+        keep = np.flatnonzero(spare >= 0)
         return pa.table([
-            pa.array(k[start]), pa.array(n[start]), pa.array([h[a:e].tobytes() for a, e in zip(start, ends)], pa.binary()),
-            pa.array([df[a:e].tobytes() for a, e in zip(start, ends)], pa.binary()),
+            owner[keep], size[keep], pa.array([h[cut[i] : cut[i + 1]].tobytes() for i in keep], pa.binary()),
+            np.minimum(seen, spare + 1)[keep], np.minimum(seen, spare + 2)[keep], (size - seen)[keep],
         ], schema=schema)
 
-    pieces = docs.mapInArrow(scan, EXCHANGE).groupBy("bucket").applyInArrow(count, "key long, n long, hashes binary, df binary")
-    whole = pieces.groupBy("key").agg(F.max("n").alias("n"), F.collect_list(F.struct("hashes", "df")).alias("parts"))
-
-    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for key, n, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                h = np.frombuffer(b"".join(p["hashes"] for p in parts), A.U64)
-                df = np.frombuffer(b"".join(p["df"] for p in parts), np.uint16)
-                spare = n - -(-percent * n // 100) - (n - len(h))  # elements that may be missing, without those seen once
-                if spare >= 0:
-                    out.append((key, n, h[np.lexsort((h, df))].tobytes(), min(len(h), spare + 1), min(len(h), spare + 2), n - len(h)))
-            columns = list(zip(*out)) if out else [()] * 6
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["key", "n", "hashes", "one", "two", "unseen"])
-
-    return whole.mapInArrow(order, "key long, n long, hashes binary, one long, two long, unseen long")
+    return docs.mapInArrow(scan, EXCHANGE).groupBy("bucket").applyInArrow(count, PARTS).groupBy("part").applyInArrow(gather, result)
 
 
 def boundary(sets: DataFrame, percent: int) -> int:
@@ -242,35 +264,40 @@ def boundary(sets: DataFrame, percent: int) -> int:
 
 
 def _keys(sets: DataFrame, light: int, percent: int) -> DataFrame:
-    """Rows ``k, id, size, score, lead``: subsets of light sets, list entries of heavy ones and of those near in size."""
-    schema = "k long, id long, size long, score long, lead boolean"
+    """Rows ``k, id, size, missed, score, lead``: subsets of light sets, list entries of heavy ones and of those near in size.
+
+    If the key is the first that two sets share, each has at least ``missed`` elements that the other lacks.
+    """
+    schema = "k long, id long, size long, missed long, score long, lead boolean"
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, many, rows, lead = [], [], [], []
+            k, missed, rows, lead = [], [], [], []
             columns = (batch.column(i).to_pylist() for i in range(6))
-            for i, (_, n, raw, one, two, _) in enumerate(zip(*columns)):
+            for i, (_, n, raw, one, two, unseen) in enumerate(zip(*columns)):
                 h = np.frombuffer(raw, A.U64)
                 if n <= light:
                     if two >= 2:
                         x, y = np.triu_indices(two, 1)
                         pair = np.sort(np.stack((h[x], h[y])), axis=0)
-                        keys = A.mix(pair[0] * A.U64(A.BYTE_BASE) + A.mix(pair[1]))
+                        keys, before = A.mix(pair[0] * A.U64(A.BYTE_BASE) + A.mix(pair[1])), y - 1
                     else:  # a set of one element
-                        keys = A.mix(h[:two] + A.U64(2))
+                        keys, before = A.mix(h[:two] + A.U64(2)), np.zeros(two, np.int64)
                     k.append(keys)
+                    missed.append(before + unseen)
                     rows.append(np.full(len(keys), i))
                     lead.append(np.ones(len(keys), bool))
                 if n > light * percent / 100:
                     k.append(h[:one])
+                    missed.append(np.arange(one) + unseen)
                     rows.append(np.full(one, i))
                     lead.append(np.full(one, n > light))
             if k:
                 rows = np.concatenate(rows)
-                of = [batch.column(i).to_numpy()[rows] for i in (0, 1, 5)]
+                key, size, unseen = (pa.array(batch.column(i).to_numpy()[rows]) for i in (0, 1, 5))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(k).view(np.int64)), *map(pa.array, of), pa.array(np.concatenate(lead))],
-                    ["k", "id", "size", "score", "lead"],
+                    [pa.array(np.concatenate(k).view(np.int64)), key, size, pa.array(np.concatenate(missed)), unseen, pa.array(np.concatenate(lead))],
+                    ["k", "id", "size", "missed", "score", "lead"],
                 )
 
     return sets.select("key", "n", "hashes", "one", "two", "unseen").mapInArrow(emit, schema)
@@ -297,34 +324,50 @@ def _verifier(sets: DataFrame, percent: int):
     return verify
 
 
-def jaccard_components(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``; see the module for the rules."""
-    rows = docs.select("text", id_or_last().alias("doc"), F.xxhash64(id_or_last(), "text").alias("key"))
+def _labelled(docs: DataFrame, gram: int, percent: int) -> DataFrame:
+    """Per distinct row ``key, doc, n, copies``, and ``component`` and ``keeper``: the id and key of its component's first row."""
+    rows = docs.select("text", id_or_last().alias("doc"), row_key().alias("key"))
     buckets = bucket_count(docs)
     summary = written(_summaries(rows, gram, buckets), "sets")
     whole = written(
         summary.where("n > 0").groupBy("set_a", "set_b", "n")
-        .agg(F.min("key").alias("key"), F.min("doc").alias("doc"), F.max("known").alias("known")), "classes",
+        .agg(F.min(F.struct("doc", "key")).alias("first"), F.max("known").alias("known")).withColumn("key", F.col("first.key")), "classes",
     )
     chosen = whole.where(F.col("known") * 100 >= F.col("n") * percent).select("key")
     sets = written(_ordered_sets(rows.join(broadcast_if_small(chosen), "key"), gram, percent, buckets), "ordered")
     light = boundary(sets, percent)
-    near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+    def near(n, missed, m, lacking):  # can the sets still have enough in common?
+        return F.least(n - missed, m - lacking) * (100 + percent) >= (n + m) * percent
+
     labels = cluster(_keys(sets, light, percent), _verifier(sets, percent), near)
     grouped = whole.join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
-    first = grouped.groupBy("label").agg(F.min("doc").alias("component"))
-    named = written(grouped.join(first, "label").select("set_a", "set_b", "n", "component"), "classes")
-    return (
-        summary.join(named, ["set_a", "set_b", "n"], "left")
-        .withColumn("component", F.coalesce("component", "doc"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-        .select(id_or_null("doc").alias("doc_id"), F.col("n").alias("n_shingles"), id_or_null("component").alias("component_id"))
+    first = grouped.groupBy("label").agg(F.min("first").alias("of"))
+    named = written(
+        grouped.join(first, "label").select("set_a", "set_b", "n", F.col("of.doc").alias("component"), F.col("of.key").alias("keeper")), "classes"
     )
+    joined = summary.join(named, ["set_a", "set_b", "n"], "left")
+    return joined.withColumns({"component": F.coalesce("component", "doc"), "keeper": F.coalesce("keeper", "key")})
+
+
+def row_key():
+    return F.xxhash64(id_or_last(), "text")
+
+
+def jaccard_components(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``; see the module for the rules."""
+    found = _labelled(docs, gram, percent).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return found.select(id_or_null("doc").alias("doc_id"), F.col("n").alias("n_shingles"), id_or_null("component").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, gram: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component; rows that repeat an id stay once."""
-    found = jaccard_components(docs, gram, percent)
-    kept = found.where("doc_id <=> component_id").select("doc_id").distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """The first row of ``docs`` (smallest id) of every component, with all columns; equal rows stay once."""
+    found = written(_labelled(docs, gram, percent).select("key", "keeper", "copies"), "labels")
+    keyed = docs.withColumn("_key", row_key())
+    gone = broadcast_if_small(found.where("key != keeper").select(F.col("key").alias("_key")), 16 << 20)
+    kept = keyed.join(gone, "_key", "left_anti")
+    repeated = written(found.where("key = keeper AND copies > 1").select(F.col("key").alias("_key")), "repeated")
+    if not repeated.isEmpty():
+        again = broadcast_if_small(repeated, 16 << 20)
+        kept = kept.join(again, "_key", "left_anti").unionByName(kept.join(again, "_key", "left_semi").dropDuplicates(["_key"]))
+    return kept.drop("_key")
