@@ -108,8 +108,9 @@ def schedule(targets: DataFrame, block: int, slots_per_bucket: int = 65536) -> D
 def mixed_pieces(
     docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block: int = 1024, seed: str = "mix"
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, source, size, source_size, target`` and ``pieces`` (slot, from word, words), null if none."""
-    sizes = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """Per row of ``docs``: ``key`` (a hash of the row), ``doc_id, source, size, source_size, target`` and ``pieces`` (slot, from word, words), null if none."""
+    key = F.xxhash64("doc_id", "source", "text").alias("key")
+    sizes = docs.select(key, "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     sizes = written(sizes, "sizes")
     targets = written(source_targets(sizes, weights, share, most), "targets")
     named = broadcast_if_small(targets.withColumnRenamed("source", "of"))
@@ -134,10 +135,28 @@ def mixed_pieces(
     pieces = pieces.select(*[F.col(c).alias(f"_{c}") for c in key], "pieces")
     same = (F.col("place") == F.col("_place")) & (F.col("start") == F.col("_start")) & (F.col("size") == F.col("_size"))
     same = same & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-    return rows.join(pieces, same, "left").select("doc_id", "source", "size", "source_size", "target", "pieces")
+    return rows.join(pieces, same, "left").select("key", "start", "doc_id", "source", "size", "source_size", "target", "pieces")
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, source_size, target, taken``."""
     words = F.aggregate(F.coalesce("pieces", F.expr("array()")), F.lit(0).cast("long"), lambda total, p: total + p["words"])
     return mixed_pieces(docs, **options).select("doc_id", "size", "source_size", "target", words.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The mixture as rows of ``docs``: one for each pass that takes words of it, with the words that the pass takes.
+
+    A document that is taken as a whole keeps its text; only where a source's target ends is one cut, to its first words
+    with single spaces, and ``n_chars`` of such a row counts anew if there is that column. Columns stay.
+    """
+    pieces = mixed_pieces(docs, **options).select("key", "start", "size", F.explode("pieces").alias("p"))
+    takes = pieces.groupBy("key", "start", "size", "p.pass").agg(F.sum("p.words").alias("words"))
+    takes = takes.groupBy(F.col("key").alias("_key")).agg(F.sort_array(F.collect_list("words"), asc=False).alias("_takes"), F.max("size").alias("_size"))
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "source", "text"))
+    rows = keyed.join(takes, "_key").dropDuplicates(["_key"]).withColumn("_words", F.explode("_takes"))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("_words").cast("int")), " ")
+    whole = F.col("_words") >= F.col("_size")
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length(cut).cast(dict(docs.dtypes)["n_chars"])))
+    return rows.withColumn("text", F.when(whole, F.col("text")).otherwise(cut)).select(*docs.columns)
