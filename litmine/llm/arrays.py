@@ -83,8 +83,18 @@ class Words:
         """Of every word: whether ``n`` words from it on lie in its text."""
         return np.arange(len(self.start)) + n <= np.repeat(self.first[1:], self.counts)
 
-    def word(self, i: int) -> bytes:
-        return self.data[self.start[i] : self.end[i]].tobytes()
+    def spaced(self, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The words (or those kept) with one space after each, as bytes, and where each ends without its space."""
+        start, end = (self.start, self.end) if kept is None else (self.start[kept], self.end[kept])
+        stop = np.cumsum(end - start + 1)
+        out = np.full(stop[-1] if len(stop) else 0, 32, np.uint8)
+        letter = np.ones(len(out), bool)
+        letter[stop - 1] = False
+        edge = np.zeros(len(self.data) + 1, np.int8)
+        edge[start] = 1
+        edge[end] -= 1
+        out[letter] = self.data[np.cumsum(edge[:-1], dtype=np.int8).astype(bool)]
+        return out, stop - 1
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -215,6 +215,8 @@ def _passages(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 words = A.find_words(data, bounds)
                 hashes = words.hashes()
                 windows = A.gram_hash(hashes, window).view(np.int64)
+                joined, stop = words.spaced()
+                heads = np.concatenate(([0], stop + 1)).tolist()
                 ids, anchors, often = (part.column(i).to_pylist() for i in (0, 3, 4))
                 for t, start, at, of, hot in _candidates(words, window, gram, anchors, often):
                     if not len(start):
@@ -225,7 +227,7 @@ def _passages(docs: DataFrame, window: int, gram: int) -> DataFrame:
                         # a hot anchor's windows are one passage each; others share one
                         first, last = int(start[i]), int(start[j - 1])
                         shard = int(of[i]) ^ int(windows[first]) if hot[i] else int(of[i])
-                        text = b" ".join(words.word(k) for k in range(first, last + window))
+                        text = joined[heads[first] : heads[last + window] - 1].tobytes()
                         key, where = (shard, int(at[i]) - first, text), (ids[t], int(at[i]) - base)
                         if key not in seen or where < seen[key]:
                             if key not in seen:
@@ -290,27 +292,31 @@ def substring_dedup(docs: DataFrame, window: int = 20, gram: int = GRAM) -> Data
                 data, bounds = A.texts_of(part.column(part.num_columns - 1))
                 words = A.find_words(data, bounds)
                 ids, anchors_of, often, marks_of = (part.column(i).to_pylist() for i in (0, 3, 4, 5))
-                removed, spans, kept = [], [], []
+                gone = np.zeros(len(words.start) + 1, np.int64)
                 for t, start, at, _, _ in _candidates(words, window, gram, anchors_of, often):
-                    base, end = int(words.first[t]), int(words.first[t + 1])
-                    gone = np.zeros(end - base + 1, np.int64)
-                    new = set()
+                    if not len(start):
+                        continue
+                    base, new = int(words.first[t]), []
                     for m in marks_of[t] or []:
-                        bits, k = m["new"], 0
+                        bits, k = m["new"], m["first"]
                         while bits:
                             if bits & 1:
-                                new.add((m["at"], m["first"] + k))
+                                new.append((k << 32) + m["at"])
                             bits >>= 1
                             k += 1
-                    for s, a in zip((start - base).tolist(), (at - base).tolist()):
-                        if (a, s) not in new:
-                            gone[s] += 1
-                            gone[s + window] -= 1
-                    covered = np.cumsum(gone[:-1]) > 0
-                    edges = np.flatnonzero(np.diff(np.concatenate(([False], covered, [False])).astype(np.int8)))
-                    removed.append(int(covered.sum()))
-                    spans.append([{"start": int(x), "end": int(y)} for x, y in zip(edges[::2], edges[1::2])])
-                    kept.append(b" ".join(words.word(base + int(k)) for k in np.flatnonzero(~covered)))
+                    old = start[~np.isin((start - base << 32) + (at - base), np.array(new, np.int64))]
+                    gone[old] += 1
+                    gone[old + window] -= 1
+                covered = np.cumsum(gone[:-1]) > 0
+                joined, stop = words.spaced(~covered)
+                left = np.concatenate(([0], np.cumsum(~covered)))[words.first]
+                heads = np.concatenate(([0], stop + 1))[left]
+                kept = [joined[a : max(a, e - 1)].tobytes() for a, e in zip(heads[:-1], heads[1:])]
+                removed, spans = words.counts - np.diff(left), [[] for _ in kept]
+                for t in np.flatnonzero(removed).tolist():
+                    part_of = covered[words.first[t] : words.first[t + 1]]
+                    edges = np.flatnonzero(np.diff(np.concatenate(([False], part_of, [False])).astype(np.int8)))
+                    spans[t] = [{"start": int(x), "end": int(y)} for x, y in zip(edges[::2], edges[1::2])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(words.counts), pa.array(removed, pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
