@@ -45,6 +45,7 @@ FAMILY_NAME = FOAF + "familyName"
 GIVEN_NAME = FOAF + "givenName"
 
 XSD_STRING = XSD + "string"
+LANGUAGE_PREFIX = RDF + "langString@"
 XSD_INTEGER = XSD + "integer"
 XSD_DATE = XSD + "date"
 XSD_GYEAR = XSD + "gYear"

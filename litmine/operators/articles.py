@@ -111,15 +111,8 @@ def articles_from_parsed(parsed: DataFrame, own_ids_only: bool = False, keep_emp
 
     ids = _all(data["ArticleIdList"], "ArticleId")
     if not own_ids_only:
-        nested = _all(data["ReferenceList"], "ReferenceList")
-        cited = F.concat(
-            *[
-                F.coalesce(
-                    _all(_all(_all(lists, "Reference"), "ArticleIdList"), "ArticleId"),
-                    F.array().cast("array<struct<_IdType:string,_VALUE:string>>"),
-                )
-                for lists in (data["ReferenceList"], nested)
-            ]
+        cited = F.coalesce(
+            _all(_all(data["Reference"], "ArticleIdList"), "ArticleId"), F.array().cast("array<struct<_IdType:string,_VALUE:string>>")
         )
         ids = F.concat(F.coalesce(ids, F.array().cast("array<struct<_IdType:string,_VALUE:string>>")), cited)
 

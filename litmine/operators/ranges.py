@@ -133,8 +133,10 @@ def bisect_ranges(ranges: DataFrame, job_size: int) -> DataFrame:
     depth = F.greatest(F.ceil(F.log2(length / F.lit(float(job_size)))).cast("int"), F.lit(0)) + 1
     sized = ranges.select(F.col("from_row").cast("long"), F.col("until_row").cast("long")).where("from_row < until_row")
     sized = sized.withColumn("_depth", depth).withColumn("_coarse", F.greatest(F.col("_depth") - 12, F.lit(0)))
-    # Two generators keep each array short; the first one's rows are spread.
+    # Two generators keep each array short; the first one's rows are spread over the tasks.
     coarse = sized.withColumn("_high", F.explode(F.expr("sequence(0L, shiftleft(1L, _coarse) - 1)")))
+    # The rows are few but each stands for thousands of pieces, so their number of partitions is given, not left to their bytes.
+    coarse = coarse.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")), "from_row", "_high")
     fine = coarse.withColumn("_low", F.explode(F.expr("sequence(0L, shiftleft(1L, _depth - _coarse) - 1)")))
     path = fine.withColumn("_path", F.expr("shiftleft(_high, _depth - _coarse) + _low"))
 
@@ -164,14 +166,22 @@ def job_summary(jobs: DataFrame) -> DataFrame:
     )
 
 
-def fixed_chunks(n_rows: DataFrame, max_task: int) -> DataFrame:
+def fixed_chunks(n_rows: DataFrame, max_task: int, mode: str = "cover") -> DataFrame:
     """``(task, from_row, until_row)`` for tasks ``0 .. max_task`` of ``n_rows // max_task`` rows each.
 
-    ``n_rows`` is a one-row table with a column of that name.
+    ``n_rows`` is a one-row table with a column of that name. The tasks tile all rows: the last one
+    reaches the end, and none goes beyond it. ``mode="even"`` gives every task the same
+    number of rows, which leaves a rest to the gap planner or runs past the end.
     """
+    even = mode == "even"
     chunk = F.expr(f"n_rows div {int(max_task)}")
-    sized = n_rows.select(chunk.alias("_chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max_task).cast("long"))).alias("task"))
-    return sized.select("task", (F.col("task") * F.col("_chunk")).alias("from_row"), ((F.col("task") + 1) * F.col("_chunk")).alias("until_row"))
+    chunk = chunk if even else F.greatest(chunk, F.lit(1).cast("long"))
+    tasks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max_task).cast("long")))
+    sized = n_rows.select("n_rows", chunk.alias("_chunk"), tasks.alias("task"))
+    start, end = F.col("task") * F.col("_chunk"), (F.col("task") + 1) * F.col("_chunk")
+    if not even:
+        start, end = F.least(start, "n_rows"), F.when(F.col("task") == max_task, F.col("n_rows")).otherwise(F.least(end, "n_rows"))
+    return sized.select("task", start.alias("from_row"), end.alias("until_row"))
 
 
 def islands(rows: DataFrame, key: str) -> DataFrame:

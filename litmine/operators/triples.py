@@ -175,6 +175,12 @@ def mesh_triples() -> Column:
     return F.transform("mesh_ids", lambda m: link(F.col("iri"), T.DCT_REFERENCES, mesh_iri(m)))
 
 
+def term_triples() -> Column:
+    """References to annotated terms (``terms``) that are no MeSH reference of the article already."""
+    own = F.array_except("terms", F.transform("mesh_ids", mesh_iri))
+    return F.transform(own, lambda t: link(F.col("iri"), T.DCT_REFERENCES, t))
+
+
 GROUPS = {
     "metadata": metadata_triples, "pages": page_triples, "journal": journal_triples, "authors": author_triples,
     "dates": date_triples, "citation": citation_triples, "mesh": mesh_triples,
@@ -184,12 +190,13 @@ GROUPS = {
 def article_triples(articles: DataFrame, groups: tuple[str, ...] = tuple(GROUPS)) -> DataFrame:
     """``triples(subject, subject_kind, predicate, object, object_kind, datatype, source_file)``.
 
-    Distinct within each article, as the union of the named groups. The
+    Distinct within each article, as the union of the named groups; the group ``terms`` needs a
+    column of that name. The
     datatype is empty unless the object is a literal.
     """
     if {"journal", "authors"} & set(groups):
         articles = with_nodes(articles)
-    statements = F.concat(*[GROUPS[g]() for g in groups])
+    statements = F.concat(*[(GROUPS | {"terms": term_triples})[g]() for g in groups])
     # The outer generator keeps Spark from testing the array's size, which would
     # build it twice; an article without statements gives one empty row to drop.
     rows = articles.select("source_file", F.inline_outer(statements)).where(F.col("subject").isNotNull())

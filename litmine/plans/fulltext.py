@@ -18,5 +18,6 @@ def annotate_fulltext(
     metadata = persist_with_row_index(read_metadata(spark, metadata_path))
     if from_row or until_row is not None:
         metadata = row_slice(metadata, from_row, until_row if until_row is not None else 2**62)
-    texts = attach_fulltext(describe_rows(spread(metadata)), read_fulltext(spark, fulltext_path))
-    return kwic_rows(texts, vocab, context)
+    described = describe_rows(spread(metadata))
+    wanted = described.where("json_file != ''").select("json_file")
+    return kwic_rows(attach_fulltext(described, read_fulltext(spark, fulltext_path, only=wanted)), vocab, context)

@@ -11,9 +11,10 @@ from litmine.functions.text import escape_query_syntax
 from litmine.operators.annotate import annotate_terms
 from litmine.operators.articles import articles_from_parsed, malformed_records, parse_records
 from litmine.operators.edges import edges_from_triples
-from litmine.operators.stats import load_stats
-from litmine.operators.triples import GROUPS, article_triples, reference_triples
-from litmine.session import fresh_path
+from litmine.operators.stats import load_stats, stats_triples
+from litmine.operators.triples import GROUPS, article_triples
+from litmine.session import fresh_path, written
+from litmine.sources.sinks import write_edges, write_triples
 from litmine.sources.articles_xml import read_article_records
 
 
@@ -27,23 +28,28 @@ class ArticleTables:
 
 
 def term_edges(articles: DataFrame, vocab: DataFrame | None, **options) -> DataFrame | None:
-    """``(iri, source_file, term_iri)`` found in the articles' text; None without a vocabulary."""
+    """``(iri, source_file, blank_seed, term_iri)`` found in the articles' text; None without a vocabulary."""
     if vocab is None:
         return None
     keys = ["iri", "source_file", "blank_seed"]
     texts = articles.select(*keys, escape_query_syntax(F.col("as_string")).alias("text"))
     found = annotate_terms(texts, vocab, keys=keys, **options)
-    return found.select("iri", "source_file", "term_iri")
+    return found.select(*keys, "term_iri")
 
 
 def triples_of(articles: DataFrame, vocab: DataFrame | None = None, **options) -> DataFrame:
-    """All statements of the articles: metadata, MeSH and annotation references."""
+    """All statements of the articles: metadata, MeSH and annotation references.
+
+    The terms found join the article's own row (records with the same content share them), and its set of
+    statements is built there; versions of one article stay apart.
+    """
     found = term_edges(articles, vocab, **options)
     if found is None:
         return article_triples(articles)
-    plain = article_triples(articles, tuple(g for g in GROUPS if g != "mesh"))
-    mesh = article_triples(articles, ("mesh",))
-    return plain.unionByName(mesh.unionByName(reference_triples(found)).distinct())
+    keys = ["iri", "source_file", "blank_seed"]
+    terms = found.groupBy(*keys).agg(F.collect_set("term_iri").alias("terms"))
+    with_terms = articles.join(terms, keys, "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<string>")))
+    return article_triples(with_terms, (*GROUPS, "terms"))
 
 
 def load_articles(
@@ -55,5 +61,12 @@ def load_articles(
     parsed = parse_records(read_article_records(spark, path, glob))
     articles_from_parsed(parsed).write.parquet(target)
     articles = spark.read.parquet(target)
-    triples = triples_of(articles, vocab)
+    triples = written(triples_of(articles, vocab if vocab is None else written(vocab, "vocabulary")), "triples")
     return ArticleTables(articles, malformed_records(parsed), triples, edges_from_triples(triples), load_stats(articles, triples))
+
+
+def publish_articles(tables: ArticleTables, path: str) -> None:
+    """Write statements, file statistics and edges per source file under ``path``; a second run replaces the same folders."""
+    write_triples(tables.triples, f"{path}/triples")
+    write_triples(stats_triples(tables.stats), f"{path}/stats")
+    write_edges(edges_from_triples(tables.triples, by_file=True), f"{path}/edges")

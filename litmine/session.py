@@ -24,11 +24,17 @@ def local_session(cpus: str = "8", shuffle_partitions: int = 8, memory: str = "1
     )
 
 
+def on_one_machine(master: str) -> bool:
+    """Whether all tasks run in the driver's own process."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (local runs) is a temporary folder used.
+    (local runs) is a temporary folder used; executors on other machines would
+    each write to their own, so a cluster without the setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -36,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(named)
         return named
     if spark.sparkContext.getCheckpointDir() is None:
+        if not on_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="litmine-"))
     return spark.sparkContext.getCheckpointDir()
 

@@ -40,13 +40,15 @@ ARTICLE_SCHEMA = (
     "OtherAbstract:array<struct<AbstractText:array<string>>>>,"
     "PubmedData struct<"
     f"ArticleIdList:{_ID_LIST},"
-    f"ReferenceList:array<struct<Reference:{_REFERENCE},ReferenceList:array<struct<Reference:{_REFERENCE}>>>>>,"
+    f"Reference:{_REFERENCE}>,"
     "_corrupt_record string"
 )
 
 # The markup allowed inside titles and abstracts. Removing the
 # tags from the raw record leaves exactly the text; an escaped tag
-# (``&lt;i&gt;``) is text and is not touched.
+# (``&lt;i&gt;``) is text and is not touched. Lists of references nest to any depth;
+# without their tags all references lie directly in the record's data.
+GROUPING = r"</?ReferenceList(?:\s[^<>]*)?/?>"
 INLINE_MARKUP = r"</?(?:b|i|u|sub|sup|DispFormula|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>|<!--(?s:.*?)-->"
 
 
@@ -83,7 +85,7 @@ def read_article_records(spark: SparkSession, path: str | list[str], glob: str |
 def parse_record(raw: Column) -> Column:
     """The record as a struct of :data:`ARTICLE_SCHEMA`; whitespace is kept."""
     return F.from_xml(
-        F.regexp_replace(raw, INLINE_MARKUP, ""),
+        F.regexp_replace(raw, f"{GROUPING}|{INLINE_MARKUP}", ""),
         ARTICLE_SCHEMA,
         {"rowTag": RECORD_TAG, "attributePrefix": "_", "valueTag": "_VALUE", "ignoreSurroundingSpaces": "false"},
     )

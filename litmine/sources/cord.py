@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litmine.functions.text import text_or_empty
+from litmine.operators.sizing import broadcast_if_small
 from litmine.session import spread
 
 # The metadata header, in order.
@@ -138,10 +139,35 @@ def fulltext_rejects(decoded: DataFrame) -> DataFrame:
     return decoded.where(~F.col("decoded")).select("json_path", F.lit("Could not decode document").alias("reason"))
 
 
-def read_fulltext(spark: SparkSession, path: str | list[str], root: str | None = None, strict: bool = True) -> DataFrame:
-    """``(json_file, full_text)``; ``json_file`` is relative to ``root`` (default: the path read)."""
-    base = (root or (path if isinstance(path, str) else "")).rstrip("/") + "/"
-    decoded = decode_fulltext(spread(read_fulltext_files(spark, path)), strict=strict)
-    relative = F.regexp_replace("json_path", r"^file:/+", "/")
-    relative = F.when(relative.startswith(base), F.substring(relative, F.lit(len(base) + 1), F.length(relative))).otherwise(relative)
-    return decoded.select(relative.alias("json_file"), assemble_fulltext(F.col("doc")).alias("full_text"))
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as its file system names it, without a trailing slash (``file:`` paths without empty authority)."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(found).toString().rstrip("/")
+
+
+def relative_names(spark: SparkSession, location: Column, roots: list[str]) -> Column:
+    """File locations (as URIs) relative to the longest root that holds them; others stay whole."""
+    plain = F.regexp_replace(F.url_decode(F.replace(location, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    out = plain
+    for base in sorted({qualified(spark, r) + "/" for r in roots}, key=len):
+        out = F.when(plain.startswith(base), F.substring(plain, F.lit(len(base) + 1), F.length(plain))).otherwise(out)
+    return out
+
+
+def read_fulltext(
+    spark: SparkSession, path: str | list[str], root: str | None = None, strict: bool = True, only: DataFrame | None = None
+) -> DataFrame:
+    """``(json_file, full_text)``; ``json_file`` is relative to ``root`` (default: the path read, or that of a list it came from).
+
+    Paths may be relative, absolute or URIs. ``only`` names the files to decode (``json_file``); others are left out
+    before they are decoded or moved.
+    """
+    roots = [root] if root else [path] if isinstance(path, str) else list(path)
+    files = read_fulltext_files(spark, path)
+    files = files.withColumn("json_file", relative_names(spark, F.col("json_path"), roots))
+    if only is not None:
+        files = files.join(broadcast_if_small(only.select("json_file").distinct()), "json_file", "left_semi")
+    decoded = decode_fulltext(spread(files), strict=strict)
+    return decoded.select("json_file", assemble_fulltext(F.col("doc")).alias("full_text"))

@@ -148,7 +148,8 @@ def chunks(spark, sf_dir):
 
 
 CHUNKS = """
-SELECT task, task * (n // 399) AS from_row, (task + 1) * (n // 399) AS until_row
+SELECT task, least(task * greatest(n // 399, 1), n) AS from_row,
+    CASE WHEN task = 399 THEN n ELSE least((task + 1) * greatest(n // 399, 1), n) END AS until_row
 FROM (SELECT unnest(range(0, 400)) AS task), (SELECT count(*) AS n FROM orders)"""
 
 QUERIES = {

@@ -94,8 +94,13 @@ def test_bisect(spark):
 
 
 def test_chunks(spark):
-    chunks = fixed_chunks(spark.createDataFrame([(1003,)], "n_rows long"), 4)
-    assert pairs(chunks) == [(i, i * 250, (i + 1) * 250) for i in range(5)]
+    for n in (0, 3, 1003, 1199, 15000):
+        for last in (1, 4, 399):
+            rows = spark.createDataFrame([(n,)], "n_rows long")
+            tiles = pairs(fixed_chunks(rows, last))
+            assert [i for a, b in ((t[1], t[2]) for t in tiles) for i in range(a, b)] == list(range(n)) and len(tiles) == last + 1
+    even = fixed_chunks(spark.createDataFrame([(1003,)], "n_rows long"), 4, mode="even")
+    assert pairs(even) == [(i, i * 250, (i + 1) * 250) for i in range(5)]
 
 
 def test_islands(spark):
