@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
-    "text_queries", "edge_queries", "xml_queries", "fulltext_queries", "range_queries", "shape_queries", "stream_queries",
+    "text_queries", "edge_queries", "xml_queries", "fulltext_queries", "range_queries", "shape_queries", "stream_queries", "file_queries",
 )
 
 
