@@ -252,7 +252,7 @@ def with_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     place = columns.index("text")
     schema = docs.withColumns({"n_entities": F.lit(None).cast("int"), "kinds": F.lit(None).cast("array<string>")}).schema
     held = None
-    if fits_broadcast(again):
+    if fits_broadcast(again, 16 << 20):
         held = docs.sparkSession.sparkContext.broadcast({(r[0], r[1]): r[2] for r in again.collect()})
     else:
         kind = {"key": F.xxhash64("text")}
