@@ -8,7 +8,7 @@ A line of length n is cut into tau + 1 segments, and a matching line has one of
 place. Each line is indexed by (length, segment number, segment) and probes the indexes of its own and up to tau
 smaller lengths with the substrings that a match can't do without, given what the other segments may have
 shifted. Keys meet in hash buckets; a line that a task holds often sends its keys once, and only keys
-that two different lines share go on. Candidates are verified by a banded bit-parallel edit distance, against one line of a
+that two different lines share go on. Pairs whose lengths or parities of letter pairs are too far apart are no candidates. Those left are verified by a banded bit-parallel edit distance, against one line of a
 key first (``components.cluster``), so a large group of variants is not paired with itself.
 
 Lines are known by 64-bit hashes; where two have the same hash, the tried pair has one text. Null texts have
@@ -31,7 +31,7 @@ from litmine.llm.tables import NO_ID, bucket_count, id_or_last, id_or_null, pack
 from litmine.session import written
 
 FLUSH = 1 << 18
-EXCHANGE = "bucket int, lines binary, sizes binary, k binary, line binary"
+EXCHANGE = "bucket int, lines binary, sizes binary, marks binary, k binary, line binary"
 
 
 def banded_distance(p: str, t: str, tau: int) -> int:
@@ -121,12 +121,24 @@ def find_lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, number, words.start[first[full]], words.end[last[full] - 1]
 
 
+def _parities(data: np.ndarray, heads: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """For each line 64 parities of how many of its pairs of neighbouring code points fall into each of 64 classes.
+
+    An edit takes away at most two pairs and adds at most two, so it changes at most four parities.
+    """
+    points = A.span_hash(data.astype(A.U64) + A.U64(1), heads[:-1], heads[1:], A.BYTE_BASE)
+    pairs = A.mix(points[:-1] * A.U64(A.WORD_BASE) + points[1:]) >> A.U64(58)
+    total = np.concatenate((np.zeros(1, A.U64), np.bitwise_xor.accumulate(A.U64(1) << pairs)))
+    return (total[last - 1] ^ total[first]).view(np.int64)
+
+
 def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min_chars: int, plans: dict):
     """Index and probe keys of the lines given by byte bounds: key, line number, whether it indexes."""
     heads = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
     first, last = np.searchsorted(heads, start), np.searchsorted(heads, end)
     sizes = last - first
     heads = np.append(heads, len(data))
+    marks = _parities(data, heads, first, last)
     spans, lines, salts, leads = [], [], [], []
     for n in np.unique(sizes[sizes >= min_chars]).tolist():
         mine = np.flatnonzero(sizes == n)
@@ -140,15 +152,15 @@ def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min
         salts.append(np.tile(salt, len(mine)))
         leads.append(np.tile(lead, len(mine)))
     if not spans:
-        return np.zeros(0, A.U64), np.zeros(0, np.int64), np.zeros(0, bool), sizes
+        return np.zeros(0, A.U64), np.zeros(0, np.int64), np.zeros(0, bool), sizes, marks
     spans = np.concatenate(spans)
     h = A.span_hash(data.astype(A.U64) + A.U64(1), spans[:, 0], spans[:, 1], A.BYTE_BASE)
     h = A.mix(h ^ A.mix(np.concatenate(salts).astype(A.U64)))
-    return h, np.concatenate(lines), np.concatenate(leads), sizes
+    return h, np.concatenate(lines), np.concatenate(leads), sizes, marks
 
 
 def _candidates(docs: DataFrame, tau: int, min_chars: int, buckets: int) -> DataFrame:
-    """Rows ``k, id, size, missed, score, lead`` of the keys that different lines share."""
+    """Rows ``k, id, size, missed, score, lead`` of the keys that different lines share; ``missed`` holds the line's parities."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plans: dict = {}
@@ -156,23 +168,23 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int, buckets: int) -> Data
         total = 0
 
         def flush() -> pa.RecordBatch:
-            key, line, size, lead = (np.concatenate(x) for x in zip(*held))
+            key, line, size, mark, lead = (np.concatenate(x) for x in zip(*held))
             held.clear()
             known, place = np.unique(line, return_inverse=True)
-            of = np.zeros(len(known), np.int64)
-            of[place] = size
+            of, marks = np.zeros((2, len(known)), np.int64)
+            of[place], marks[place] = size, mark
             order = np.lexsort((place, key))
             key, place, lead = key[order], place[order], lead[order]
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (place[1:] != place[:-1])))  # an equal line sends its keys once
             key, tag = key[new], (place[new] * 2 + lead[new]).astype(np.uint32)
             bucket = A.bucket_of(key, buckets)
-            names, sizes, out = known.tobytes(), of.tobytes(), []
+            out = []
             for s, n in zip(*A.runs(bucket)):
                 used, at = np.unique(tag[s : s + n] >> 1, return_inverse=True)
                 own = (at * 2 + (tag[s : s + n] & 1)).astype(np.uint32)
-                out.append((int(bucket[s]), known[used].tobytes(), of[used].tobytes(), key[s : s + n].tobytes(), own.tobytes()))
-            types = [pa.int32()] + [pa.binary()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["bucket", "lines", "sizes", "k", "line"])
+                out.append((int(bucket[s]), *(x[used].tobytes() for x in (known, of, marks)), key[s : s + n].tobytes(), own.tobytes()))
+            types = [pa.int32()] + [pa.binary()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["bucket", "lines", "sizes", "marks", "k", "line"])
 
         for batch in batches:
             for _, data, bounds in A.chunks(batch):
@@ -180,9 +192,9 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int, buckets: int) -> Data
                 if not len(start):
                     continue
                 names = A.span_hash(data.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE).view(np.int64)
-                key, line, lead, sizes = _keys_of(data, start, end, tau, min_chars, plans)
+                key, line, lead, sizes, marks = _keys_of(data, start, end, tau, min_chars, plans)
                 if len(key):
-                    held.append((key, names[line], sizes[line], lead))
+                    held.append((key, names[line], sizes[line], marks[line], lead))
                     total += len(key)
                 if total >= FLUSH:
                     yield flush()
@@ -193,23 +205,24 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int, buckets: int) -> Data
     schema = pa.schema([(c, pa.int64()) for c in ("k", "id", "size", "missed", "score")] + [("lead", pa.bool_())])
 
     def meet(table: pa.Table) -> pa.Table:
-        key, line, size, lead = [], [], [], []
+        key, line, size, mark, lead = [], [], [], [], []
         for r in table.to_pylist():
             tag = np.frombuffer(r["line"], np.uint32)
             key.append(np.frombuffer(r["k"], A.U64))
             line.append(np.frombuffer(r["lines"], np.int64)[tag >> 1])
             size.append(np.frombuffer(r["sizes"], np.int64)[tag >> 1])
+            mark.append(np.frombuffer(r["marks"], np.int64)[tag >> 1])
             lead.append((tag & 1).astype(bool))
-        key, line, size, lead = (np.concatenate(x) for x in (key, line, size, lead))
+        key, line, size, mark, lead = (np.concatenate(x) for x in (key, line, size, mark, lead))
         order = np.lexsort((line, key))
-        key, line, size, lead = key[order], line[order], size[order], lead[order]
+        key, line, size, mark, lead = (x[order] for x in (key, line, size, mark, lead))
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (line[1:] != line[:-1])))
-        key, line, size, lead = key[new], line[new], size[new], lead[new]
+        key, line, size, mark, lead = (x[new] for x in (key, line, size, mark, lead))
         start, length = A.runs(key)
         shared = (length > 1) & (np.add.reduceat(lead.astype(np.int64), start) > 0)
         keep = np.repeat(shared, length)
         none = np.zeros(int(keep.sum()), np.int64)
-        return pa.table([key[keep].view(np.int64), line[keep], size[keep], none, none, lead[keep]], schema=schema)
+        return pa.table([key[keep].view(np.int64), line[keep], size[keep], mark[keep], none, lead[keep]], schema=schema)
 
     return docs.select("text").mapInArrow(scan, EXCHANGE).groupBy("bucket").applyInArrow(
         meet, "k long, id long, size long, missed long, score long, lead boolean"
@@ -266,7 +279,11 @@ def line_dedup(docs: DataFrame, tau: int = 2, min_chars: int = 40) -> DataFrame:
         at = {s: lines.select(F.col("line").alias(s), F.col("text").alias(f"t{s}")) for s in "ab"}
         return pairs.join(at["b"], "b").join(at["a"], "a").select("a", "b", "ta", "tb").mapInArrow(match, "a long, b long")
 
-    labels = cluster(keys, verify, lambda n, _, m, __: F.abs(n - m) <= tau)
+
+    def near(n, mark, m, other):
+        return (F.abs(n - m) <= tau) & (F.bit_count(mark.bitwiseXOR(other)) <= 4 * tau)
+
+    labels = cluster(keys, verify, near)
     classed = found.join(labels.withColumnRenamed("id", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
     classed = written(classed.select("doc", "number", "label"), "classes")
     spots = classed.groupBy("label").agg(F.min(F.struct("doc", "number")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
