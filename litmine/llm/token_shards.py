@@ -2,11 +2,11 @@
 
 1. Texts become token ids (byte-level BPE of a public vocabulary file; ``encode`` is a parameter). Documents of an
    input partition are laid end to end, each closed by ``end``, and cut into sequences of ``length`` ids; the last
-   one is filled up with ``end``. Sequences are stored once, so texts are tokenised once.
+   one is filled up with ``end``. Sequences are stored once, compressed by the ``BLOCK``, so texts are tokenised once.
 2. A sequence's number is its place in its partition plus the sequences of the partitions before.
 3. Its global slot is a keyed permutation of the numbers below N: a balanced Feistel network over the smallest
    even number of bits that holds N, walked on until the value lies below N. Nothing is shuffled to find it.
-4. Slots ``[s * per_shard, (s + 1) * per_shard)`` go to shard s, which one task writes in order of slots. A record is the
+4. Slots ``[s * per_shard, (s + 1) * per_shard)`` go to shard s, which one task holds and writes in order of slots. A record is the
    slot (8 bytes), the ids (2 bytes each, little-endian) and a newline byte, so that record k of shard s lies at
    ``k * stride``, and a reader goes on at any slot by one seek.
 
@@ -33,6 +33,7 @@ from litmine.operators.sizing import broadcast_if_small
 from litmine.session import written
 
 ROUNDS = 6
+BLOCK, DEALT = 1024, 8192
 #: Fixed value: the public pattern that splits text before merges of byte-level BPE rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -73,7 +74,7 @@ def feistel(numbers: np.ndarray, n: int, key: int, backward: bool = False) -> np
 
 
 def token_sequences(docs: DataFrame, make_encoder: Callable, length: int, end: int) -> DataFrame:
-    """Rows ``part, at, ids, doc_ids, n_tokens``: the sequences of each partition in order; ``ids`` are compressed."""
+    """Rows ``part, at, n, ids, doc_ids, n_tokens``: blocks of ``n`` sequences of each partition in order, from number ``at`` on."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, codec = make_encoder(), pa.Codec("zstd", compression_level=3)
@@ -83,11 +84,12 @@ def token_sequences(docs: DataFrame, make_encoder: Callable, length: int, end: i
         count = at = 0
         rows: list[tuple] = []
 
-        def batch_of() -> pa.RecordBatch:
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["part", "at", "ids", "doc_ids", "n_tokens"])
+        def block() -> pa.RecordBatch:
+            blob = codec.compress(b"".join(r[0] for r in rows), asbytes=True)
+            values = (part, at - len(rows), len(rows), blob, [r[1] for r in rows], [r[2] for r in rows])
+            types = [pa.int64()] * 3 + [pa.binary(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
             rows.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], ["part", "at", "n", "ids", "doc_ids", "n_tokens"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -98,20 +100,23 @@ def token_sequences(docs: DataFrame, make_encoder: Callable, length: int, end: i
                     continue
                 tokens, names = np.concatenate(held), owners
                 for start in range(0, count - length + 1, length):
-                    rows.append((part, at, codec.compress(tokens[start : start + length].tobytes(), asbytes=True), names, length))
+                    rows.append((tokens[start : start + length].tobytes(), names, length))
                     at += 1
                     names = [doc_id]
+                    if len(rows) == BLOCK:
+                        yield block()
                 rest = tokens[count // length * length :]
                 held, owners, count = ([rest], [doc_id], len(rest)) if len(rest) else ([], [], 0)
-                if len(rows) >= 512:
-                    yield batch_of()
         if count:
             tokens = np.concatenate([*held, np.full(length - count, end, np.uint16)])
-            rows.append((part, at, codec.compress(tokens.tobytes(), asbytes=True), owners, count))
+            rows.append((tokens.tobytes(), owners, count))
+            at += 1
         if rows:
-            yield batch_of()
+            yield block()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "part long, at long, ids binary, doc_ids array<bigint>, n_tokens long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        cut, "part long, at long, n long, ids binary, doc_ids array<array<bigint>>, n_tokens array<bigint>"
+    )
 
 
 def write_shards(
@@ -119,40 +124,80 @@ def write_shards(
 ) -> DataFrame:
     """Write ``docs (doc_id, text)`` as shards under ``path``; the index of it: ``sequence, slot, shard, offset, doc_ids, n_tokens, crc``."""
     stored = written(token_sequences(docs, make_encoder or rank_file_encoder(), length, end), "sequences")
-    counts = stored.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored.groupBy("part").agg(F.sum("n").alias("n"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     bases = written(counts.select("part", "n", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long")).alias("base")), "bases")
     total = bases.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    placed = stored.join(broadcast_if_small(bases), "part").withColumn("sequence", F.col("base") + F.col("at"))
-    placed = placed.select("sequence", "doc_ids", "n_tokens", "ids")
-    schema = "slot long, shard int, sequence long, doc_ids array<bigint>, n_tokens long, ids binary, crc long"
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
+    based = stored.join(broadcast_if_small(bases.select("part", "base")), "part").select(
+        (F.col("base") + F.col("at")).alias("first"), "n", "ids", "doc_ids", "n_tokens"
+    )
 
+    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Per block the slots, the bytes of each sequence, and the block's row."""
         codec = pa.Codec("zstd")
         for batch in batches:
-            slot = feistel(batch.column(0).to_numpy(), total, key)
-            crc = [zlib.crc32(codec.decompress(x.as_buffer(), 2 * length, asbytes=True)) for x in batch.column(3)]
+            for first, n, ids, doc_ids, n_tokens in zip(*batch.columns):
+                first, n = first.as_py(), n.as_py()
+                raw = codec.decompress(ids.as_buffer(), 2 * length * n, asbytes=True)
+                numbers = np.arange(first, first + n)
+                yield numbers, feistel(numbers, total, key), [raw[i : i + 2 * length] for i in range(0, len(raw), 2 * length)], doc_ids, n_tokens
+
+    def to_deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What goes from here to a shard as one compressed row for every ``DEALT`` sequences read."""
+        codec = pa.Codec("zstd", compression_level=3)
+        slots: list[np.ndarray] = []
+        held: list[bytes] = []
+
+        def flush() -> pa.RecordBatch:
+            slot = np.concatenate(slots)
+            order = np.argsort(slot)
+            slot, out = slot[order], []
+            for s, n in zip(*A.runs(slot // per_shard)):
+                blob = b"".join(held[i] for i in order[s : s + n])
+                out.append((int(slot[s] // per_shard), slot[s : s + n].tobytes(), codec.compress(blob, asbytes=True)))
+            slots.clear()
+            held.clear()
+            types = [pa.int32(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["shard", "slots", "ids"])
+
+        for _, slot, raw, _, _ in sequences(batches):
+            slots.append(slot)
+            held += raw
+            if len(held) >= DEALT:
+                yield flush()
+        if held:
+            yield flush()
+
+    def to_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zlib
+
+        for numbers, slot, raw, doc_ids, n_tokens in sequences(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array((slot // per_shard).astype(np.int32)), *batch.columns, pa.array(crc, pa.int64())],
-                ["slot", "shard", "sequence", "doc_ids", "n_tokens", "ids", "crc"],
+                [pa.array(numbers), pa.array(slot), pa.array((slot // per_shard).astype(np.int32)), doc_ids.values, n_tokens.values,
+                 pa.array([zlib.crc32(r) for r in raw], pa.int64())],
+                ["sequence", "slot", "shard", "doc_ids", "n_tokens", "crc"],
             )
 
-    placed = placed.mapInArrow(place, schema)
-
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
-        for batch in batches:
-            slots = batch.column(0).to_numpy()
-            raw = [np.int64(s).tobytes() + codec.decompress(x.as_buffer(), 2 * length, asbytes=True) for s, x in zip(slots, batch.column(1))]
+        parts = [(np.frombuffer(r["slots"], np.int64), r["ids"]) for batch in batches for r in batch.to_pylist()]
+        if not parts:
+            return
+        slots = np.concatenate([slot for slot, _ in parts])  # of one shard
+        table = np.concatenate([
+            np.frombuffer(codec.decompress(ids, 2 * length * len(slot), asbytes=True), np.uint8).reshape(-1, 2 * length) for slot, ids in parts
+        ])
+        order = np.argsort(slots)
+        for start in range(0, len(order), 512):
+            raw = [slots[i].tobytes() + table[i].tobytes() for i in order[start : start + 512]]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], ["value"])
 
     shards = max(1, -(-total // per_shard))
-    dealt = placed.select("slot", "shard", "ids").repartitionById(shards, "shard").sortWithinPartitions("slot").select("slot", "ids")
+    dealt = based.mapInArrow(to_deal, "shard int, slots binary, ids binary").repartitionById(shards, "shard").select("slots", "ids")
     dealt.mapInArrow(records, "value binary").select(F.col("value").cast("string")).write.text(path, lineSep="\n")
     stride = 8 + 2 * length + 1
-    return placed.select("sequence", "slot", "shard", ((F.col("slot") % per_shard) * stride).alias("offset"), "doc_ids", "n_tokens", "crc")
+    index = based.mapInArrow(to_index, "sequence long, slot long, shard int, doc_ids array<bigint>, n_tokens long, crc long")
+    return index.select("sequence", "slot", "shard", ((F.col("slot") % per_shard) * stride).alias("offset"), "doc_ids", "n_tokens", "crc")
 
 
 def read_shards(spark, path: str, length: int = 1024, from_slot: int = 0) -> DataFrame:
