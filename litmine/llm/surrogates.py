@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates of the same type, format, script and gender.
 
 Detected are e-mail addresses, IPv4 addresses, payment card numbers, phone numbers, access keys, passwords and names of persons
-after a form of address. A surrogate is a function of a secret key, the entity's kind and its normal form
+after a form of address. A secret is what stands after a word such as password or token (also at the end of a longer word, or followed by _ or -),
+white space if any, ``=`` or ``:``, and an opening quote if any: up to the closing quote, else up to white space, less trailing marks. A surrogate is a function of a secret key, the entity's kind and its normal form
 (digits only, lower case, single name), so one entity gets one surrogate in all documents and spellings. It keeps
 length, letter case, digits and separators; a card keeps whether its check digit holds, an address its private range, a
 name its script and the gender of the form of address.
@@ -41,9 +42,19 @@ SYLLABLES = {
     "cyrillic": ("б в г д ж з к л м н п р с т ф х".split(), "а е и о у".split(), {"m": "н р с л".split(), "f": "а ия ея".split(), "u": "е ин ел".split()}),
     "greek": ("β γ δ ζ θ κ λ μ ν π ρ σ τ φ χ".split(), "α ε η ι ο".split(), {"m": "ς ν ρ".split(), "f": "α ια εα".split(), "u": "ε ιν ελ".split()}),
 }
+SECRET_WORDS = ("password", "passwd", "passphrase", "pwd", "secret", "token", "api_key", "api-key", "apikey")
+_SIGN = r"""(?:[_-][\w-]{0,40})?\\?["'`]?[ \t\r\n]*(?::=|=>|==?|:)"""
+_SECRET_SIGN = re.compile(_SIGN.encode())
+# After '=' or before a quote the value may stand on the next line, after a plain ':' only on the same one.
+SECRET = re.compile(
+    r"(?i)(?:" + "|".join(SECRET_WORDS) + r""")(?:[_-][\w-]{0,40})?\\?["'`]?[ \t\r\n]*(?:(?::=|=>|==?)[ \t\r\n]*|:[ \t]*|:[ \t\r\n]*(?=\\?["'`]))"""
+    r"""(?:"([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`|“([^”\n]+)”|\\"(.+?)\\"|[\\]?["'`“]?([^\s"'`“\\]\S*))"""
+)
+AFTER_SECRET = ".,;:!?)]}>\"'`”\\"
+SECRET_WINDOW = 1 << 13
 FINDERS = [
+    ("secret", SECRET),
     ("email", re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+")),
-    ("secret", re.compile(r"(?i)(?<=password=)\S+|(?<=passwd=)\S+|(?<=pwd=)\S+|(?<=secret=)\S+|(?<=token=)\S+|(?<=api_key=)\S+")),
     ("key", re.compile(r"\bA[KS]IA[0-9A-Z]{16}\b")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w.]*\d)")),
     ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]*\d)")),
@@ -135,7 +146,8 @@ _ADDRESS = sorted(ADDRESS)
 
 
 def snippets(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """Per text the byte ranges in which an entity can lie: words with a digit, @ or =, or a form of address, and their neighbours."""
+    """Per text the byte ranges in which an entity can lie: words with a digit, @ or =, or a form of address, and their neighbours;
+    a secret with its key word and sign."""
     words = A.find_words(data, bounds)
     if not len(words.start):
         return
@@ -150,6 +162,8 @@ def snippets(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, i
         near[:-k] |= hit[k:]
     near |= named
     near[3:] |= named[:-3]
+    for first, last in _secret_spans(low, bounds):
+        near[np.searchsorted(words.end, first, "right") : np.searchsorted(words.start, last)] = True
     at = np.flatnonzero(near)
     rows = words.rows()
     cut = np.flatnonzero(np.concatenate(([True], (np.diff(at) > 1) | (np.diff(rows[at]) > 0), [True]))) if len(at) else np.zeros(0, int)
@@ -158,6 +172,20 @@ def snippets(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, i
         yield int(rows[first]), int(words.start[first]), int(words.end[last])
 
 
+def _secret_spans(low: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Byte ranges from the key word of a secret to its end, in lower-cased texts."""
+    raw = low.tobytes()
+    for word in SECRET_WORDS:
+        mark, at = word.encode(), raw.find(word.encode())
+        while at >= 0:
+            stop = int(bounds[np.searchsorted(bounds, at, "right")])
+            if _SECRET_SIGN.match(raw, at + len(mark), stop):
+                m = SECRET.match(raw[at : min(stop, at + SECRET_WINDOW)].decode("utf-8", "replace"))
+                if m:
+                    yield at, at + len(m[0].encode())
+            at = raw.find(mark, at + len(mark))
+
+
 def _address_hashes() -> np.ndarray:
     out = []
     for word in _ADDRESS:
@@ -180,7 +208,10 @@ def entities(text: str) -> list[tuple[int, int, str]]:
 
     for kind, pattern in FINDERS:
         for m in pattern.finditer(text):
-            add(m.start(), m.end(), kind)
+            start, end = m.span(m.lastindex or 0)
+            if kind == "secret":
+                end = start + (len(m[m.lastindex].rstrip(AFTER_SECRET)) or end - start) if m.lastindex == SECRET.groups else end
+            add(start, end, kind)
     for m in _PERSON.finditer(text):
         gender = ADDRESS[m[1].lower()]
         last, first = m[3], m[2].strip()

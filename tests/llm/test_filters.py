@@ -78,6 +78,40 @@ def test_surrogates_keep_type_format_gender_and_script():
     assert len(seen["secret"]) == 1 and re.fullmatch(r"[a-z]{3}\d\d", seen["secret"][0][1])
 
 
+@pytest.mark.parametrize("form", [
+    'token = "{}"', 'TOKEN = "{}"', "password: {}", "password : {}", "passwd='{}',", '{{"api_key": "{}", "n": 1}}', "client_secret={}.", "access-token:\n  '{}'", "pwd={}", "Secret => {};", "é token = “{}” é",
+])
+def test_secrets_are_found_in_all_forms(spark, form):
+    value = "dbfeabcdefacbdacbefdabcfedabcdfeabcdfabe"
+    text = "some words before " + form.format(value) + " and words after"
+    (found,) = [(a, e) for a, e, kind in entities(text) if kind == "secret"]
+    assert text[slice(*found)] == value
+    (row,) = with_surrogates(spark.createDataFrame([(1, text)], "doc_id long, text string"), b"k").collect()
+    assert value not in row["text"] and row["kinds"] == ["secret"] and len(row["text"]) == len(text)
+    assert row["text"][: found[0]] == text[: found[0]] and row["text"][found[1] :] == text[found[1] :]
+
+
+def test_quoted_secrets_keep_all_words(spark):
+    text = 'x password = "correct horse battery staple again and again" y'
+    (row,) = with_surrogates(spark.createDataFrame([(1, text)], "doc_id long, text string"), b"k").collect()
+    assert row["n_entities"] == 1 and not any(w in row["text"] for w in ("correct", "battery", "again")) and row["text"].endswith('" y')
+
+
+def test_planted_secrets_of_the_documents_are_found():
+    import pyarrow.parquet as pq
+
+    from litmine.llm import arrays as A
+    from litmine.llm.surrogates import _scan
+
+    path = Path("/root/testdata/sf0.01/documents.parquet")
+    if not path.exists():
+        pytest.skip("no documents")
+    batch = pq.read_table(path, columns=["text"]).combine_chunks().to_batches()[0]
+    planted = sum(len(re.findall(r'(?i)token = "[0-9a-f]{40}"', t or "")) for t in batch.column(0).to_pylist())
+    found = sum(kind == "secret" and re.fullmatch("[0-9a-fA-F]{40}", t) is not None for _, data, bounds in A.chunks(batch) for *_, kind, t in _scan(data, bounds))
+    assert planted == found > 0
+
+
 def test_surrogates_are_distinct_and_coreferent(spark, rows, none):
     texts = [(k, f"call +1 (988) 555-{1000 + k % 300} or 1{'-' if k % 2 else ' '}988 555 {1000 + k % 300} now") for k in range(500)]
     texts += [(k, f"mail u{k % 50}@h.example.org and U{k % 50}@h.example.org") for k in range(500, 700)]
