@@ -8,7 +8,9 @@ length, letter case, digits and separators; a card keeps whether its check digit
 name its script and the gender of the form of address.
 
 Distinctness is checked over the whole corpus: distinct entities are gathered, and one whose surrogate is also
-that of another or is itself an entity of the corpus draws again, until no collision is left. Only entities that
+that of another or is itself an entity of the corpus draws again, until no collision is left. From the third draw on a surrogate
+grows with the number of the draw (an address gets numbers above 255), and one without anything to replace grows at once, so there is
+always a free one, however short or alike the entities are. Only entities that
 drew again are carried back to the documents; the others are computed where they stand. If those few don't fit a measured
 broadcast, they meet their documents in a join.
 
@@ -19,7 +21,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +82,13 @@ def script_of(word: str) -> str:
     return "cyrillic" if 0x400 <= first < 0x530 else "greek" if 0x370 <= first < 0x400 else "latin"
 
 
+@lru_cache(1 << 16)
+def letters_like(c: str) -> str:
+    """The characters of the same category (letter case, digit) in this one's block of 64."""
+    start, category = ord(c) & ~63, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(start, start + 64)) if unicodedata.category(x) == category)
+
+
 def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     """The normal form of the replacement for the entity with this normal form."""
     seed, counter, pool = f"{kind}\0{value}\0{attempt}".encode(), 0, 0
@@ -97,31 +109,42 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
                     c = letters[draw(len(letters))] if letters is not LETTERS[2] or c == "0" or i else str(1 + draw(9))
                     break
             else:
-                if c.isalpha():
-                    c = LETTERS[c.isupper()][draw(26)] if ord(c) < 0x250 else chr(ord(c) - ord(c) % 16 + draw(16)) if ord(c) > 0x3000 else c
+                if c.isalpha() or c.isdecimal():
+                    like_c = LETTERS[c.isupper()] if ord(c) < 0x250 and c.isalpha() else letters_like(c)
+                    c = like_c[draw(len(like_c))]
             out.append(c)
         return "".join(out)
 
+    def wider(text: str, letters: str) -> str:
+        """``like``, longer from the third draw on; at once if nothing of the text can be replaced."""
+        fixed = not any(c.isalpha() or c.isdecimal() for c in text)
+        return like(text) + "".join(letters[draw(len(letters))] for _ in range(max(more, attempt + 1 if fixed else 0)))
+
+    more = max(0, attempt - 2)
+
     if kind.startswith("name"):
         _, gender, script = kind.split(":")
         onsets, vowels, ends = SYLLABLES[script]
-        middle = "".join(onsets[draw(len(onsets))] + vowels[draw(len(vowels))] for _ in range(2 + draw(2)))
+        middle = "".join(onsets[draw(len(onsets))] + vowels[draw(len(vowels))] for _ in range(2 + draw(2) + more))
         return middle + onsets[draw(len(onsets))] * (gender == "f") + ends[gender][draw(len(ends[gender]))]
     if kind == "email":
         local, _, domain = value.partition("@")
         name, _, top = domain.rpartition(".")
         host = surrogate("domain", name, key, 0)  # addresses of one domain stay together
-        return f"{like(local)}@{host}.{top}"
+        return f"{wider(local, LETTERS[0] + LETTERS[2])}@{host}.{top}"
     if kind == "ip":
         a, b = value.split(".")[:2]
-        rest = [str(1 + draw(254)) for _ in range(4)]
+        rest = [str(256 + draw(99 * more) if more else 1 + draw(254)) for _ in range(4)]
         head = [a] if a in ("10", "127") else [a, b] if (a, b) == ("192", "168") else [str(11 + draw(116))]
         return ".".join(head + rest[len(head):])
     if kind == "card":
-        body = value[0] + "".join(str(draw(10)) for _ in value[1:-1])
+        body = value[0] + "".join(str(draw(10)) for _ in range(len(value) - 2 + more))
         last = (10 - luhn(body + "0")) % 10
         return body + str((last + (luhn(value) and 1 + draw(9))) % 10)
-    return value[:4] + like(value[4:]) if kind == "key" else like(value)
+    if kind == "phone":
+        zeros = len(value) - len(value.lstrip("0"))
+        return value[:zeros] + wider(value[zeros:], LETTERS[2])
+    return value[:4] + wider(value[4:], LETTERS[1] + LETTERS[2]) if kind == "key" else wider(value, LETTERS[0] + LETTERS[2])
 
 
 def normal_form(kind: str, text: str) -> str:
@@ -134,7 +157,7 @@ def dressed(kind: str, text: str, new: str) -> str:
     """The surrogate's normal form in the format of the text that it replaces."""
     if kind in ("card", "phone"):
         digits = iter(new)
-        return "".join(next(digits) if c.isdigit() else c for c in text)
+        return "".join(next(digits) if c.isdigit() else c for c in text) + "".join(digits)
     if kind.startswith("name"):
         return new.upper() if text.isupper() and len(text) > 1 else new.capitalize() if text[0].isupper() else new
     if kind == "email":
@@ -249,7 +272,7 @@ def _distinct(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(scan, "kind string, value string").distinct()
 
 
-def redrawn(docs: DataFrame, key: bytes, rounds: int = 64) -> DataFrame:
+def redrawn(docs: DataFrame, key: bytes) -> DataFrame:
     """Rows ``kind, value, attempt`` of the entities whose first surrogate collides."""
     def draws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,7 +284,7 @@ def redrawn(docs: DataFrame, key: bytes, rounds: int = 64) -> DataFrame:
     space = F.when(F.col("kind").startswith("name"), "name").otherwise(F.col("kind"))
     originals = all_.select(space.alias("space"), F.col("value").alias("new")).distinct()
     state = written(all_.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(draws, schema), "draws")
-    for attempt in range(1, rounds + 1):
+    for attempt in count(1):
         spaced = state.withColumn("space", space)
         first = W.partitionBy("space", "new").orderBy("attempt", "kind", "value")
         marked = spaced.withColumn("rank", F.row_number().over(first)).join(originals.withColumn("real", F.lit(True)), ["space", "new"], "left")
@@ -270,8 +293,6 @@ def redrawn(docs: DataFrame, key: bytes, rounds: int = 64) -> DataFrame:
             break
         again = marked.where("bad").select("kind", "value", F.lit(attempt).alias("attempt")).mapInArrow(draws, schema)
         state = marked.where("NOT bad").drop("bad").unionByName(again)
-    else:
-        raise ValueError(f"entities still share surrogates after {rounds} draws")
     return state.where("attempt > 0").select("kind", "value", "attempt")
 
 
