@@ -2,10 +2,12 @@
 
 Detected are e-mail addresses, IPv4 addresses, payment card numbers, phone numbers, access keys, passwords and names of persons
 after a form of address. A secret is what stands after a word such as password or token (also at the end of a longer word, or followed by _ or -),
-white space if any, ``=`` or ``:``, and an opening quote if any: up to the closing quote, else up to white space, less trailing marks. A surrogate is a function of a secret key, the entity's kind and its normal form
+white space if any, ``=`` or ``:``, and an opening quote if any: up to the closing quote, else up to white space, less trailing marks. A phone number has 7 to 15 digits: after a plus, in groups after an area code in brackets, after a zero, or in
+other groups that aren't dates, years or numbers with thousands apart. Persons are all capitalised names after a form of address (in capitals throughout, where
+names can't be told from words: two), and further mentions of these names in the same text. A surrogate is a function of a secret key, the entity's kind and its normal form
 (digits only, lower case, single name), so one entity gets one surrogate in all documents and spellings. It keeps
 length, letter case, digits and separators; a card keeps whether its check digit holds, an address its private range, a
-name its script and the gender of the form of address.
+name its script and the gender of the forms of address before it in the corpus, none if they differ.
 
 Distinctness is checked over the whole corpus: distinct entities are gathered, and one whose surrogate is also
 that of another or is itself an entity of the corpus draws again, until no collision is left. From the third draw on a surrogate
@@ -24,7 +26,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -57,12 +59,25 @@ SECRET = re.compile(
 )
 AFTER_SECRET = ".,;:!?)]}>\"'`”\\"
 SECRET_WINDOW = 1 << 13
+# Words between a form of address and a name, or between names.
+TITLES = set("dr prof mr mrs ms miss herr herrn frau madame monsieur mme sr sra señor señora doña г-н г-жа".split())
+PARTICLES = set("van von vom zu zum zur de del della der den dem di da do dos das du des la le las los el al bin ibn ben y e af av ten ter st".split())
+PHONE = re.compile(
+    r"(?<![\w.+])(?:\+\d(?:[ ()./-]{0,2}\d){6,14}|\(\+?\d{1,5}\)(?:[ ./-]{0,2}\d){4,12}|0\d(?:[ ()./-]{0,2}\d){5,13})(?!\d)"
+    r"|(?<![\w.,/+-])(?P<groups>\d{1,4}(?:[ .-]\d{2,8}){1,5})(?!\w|[.,/-]\d)"
+)
+_YEAR = r"(?:1[5-9]|20)\d\d"
+NO_PHONE = re.compile(
+    rf"{_YEAR}([ .-])(?:0?[1-9]|1[0-2])\1(?:[0-2]?\d|3[01])(?!\d)|(?:[0-2]?\d|3[01])([ .-])(?:[0-2]?\d|3[01])\2{_YEAR}(?!\d)"
+    rf"|{_YEAR}(?:[ .-]{_YEAR})+$|{_YEAR} \d+$|\d{{1,2}}(?: \d{{3}})+$|\d{{1,3}}(?:\.\d{{3}})+$|\d+\.\d+$|\d+(?: \d\d)+$"
+)
 FINDERS = [
     ("secret", SECRET),
     ("email", re.compile(r"[\w.%+-]+@[\w-]+(?:\.[\w-]+)+")),
     ("key", re.compile(r"\bA[KS]IA[0-9A-Z]{16}\b")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w.]*\d)")),
     ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]*\d)")),
+    ("phone", PHONE),
     ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3}[ .-]\d{3,4}(?!\d)|(?<![\w.])\+\d{8,14}(?!\d)")),
 ]
 LETTERS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
@@ -168,6 +183,10 @@ def dressed(kind: str, text: str, new: str) -> str:
 _ADDRESS = sorted(ADDRESS)
 
 
+def is_phone(text: str, grouped: bool) -> bool:
+    return 7 <= sum(c.isdigit() for c in text) <= 15 and not (grouped and NO_PHONE.match(text))
+
+
 def snippets(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Per text the byte ranges in which an entity can lie: words with a digit, @ or =, or a form of address, and their neighbours;
     a secret with its key word and sign."""
@@ -185,6 +204,13 @@ def snippets(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, i
         near[:-k] |= hit[k:]
     near |= named
     near[3:] |= named[:-3]
+    reach = 0
+    for k in np.flatnonzero(named).tolist():  # all names after a form of address
+        stop = int(words.first[np.searchsorted(words.first, k, "right")])
+        reach = max(reach, k + 1)
+        while reach < stop and _may_be_name(data[words.start[reach] : min(words.end[reach], words.start[reach] + 64)].tobytes()):
+            near[reach] = True
+            reach += 1
     for first, last in _secret_spans(low, bounds):
         near[np.searchsorted(words.end, first, "right") : np.searchsorted(words.start, last)] = True
     at = np.flatnonzero(near)
@@ -218,7 +244,36 @@ def _address_hashes() -> np.ndarray:
 
 
 _ADDRESS_HASHES = _address_hashes()
-_PERSON = re.compile(r"(?<!\S)(" + "|".join(re.escape(w) for w in sorted(_ADDRESS, key=len, reverse=True)) + r")\s+((?:[^\W\d_][\w'’-]*\s+)?)([^\W\d_][\w'’-]*)", re.I)
+_FORM = re.compile(r"(?<!\S)(" + "|".join(re.escape(w) for w in sorted(_ADDRESS, key=len, reverse=True)) + r")(?=\s)", re.I)
+_NEXT = re.compile(r"\s+([^\W\d_][\w'’-]*)(\.?)")
+_NAME = re.compile(r"(?<!\w)[^\W\d_][\w'’-]*")
+_OWNER = re.compile(r"(?:['’][sS])?['’-]*$")
+
+
+def _may_be_name(word: bytes) -> bool:
+    text = word.decode("utf-8", "ignore")
+    return text[:1].isupper() or text.rstrip(".").lower() in PARTICLES or text.rstrip(".").lower() in TITLES
+
+
+def names_after(text: str, at: int, shouted: bool) -> list[tuple[int, int]]:
+    """Bounds of the names from ``at`` on, where a form of address ends."""
+    names: list[tuple[int, int]] = []
+    while (m := _NEXT.match(text, at)) and not (shouted and len(names) == 2):
+        word, at = m[1], m.end()
+        low = word.lower()
+        if low in TITLES:
+            if names:
+                break
+        elif word[0].isupper() and not (low == "st" and m[2]):
+            end = _OWNER.search(word).start()
+            names.append((m.start(1), m.start(1) + end))
+            if end < len(word) or m[2] and len(word) > 1:
+                break
+        elif low not in PARTICLES:
+            break
+    return names
+
+
 
 
 def entities(text: str) -> list[tuple[int, int, str]]:
@@ -230,34 +285,66 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             found.append((start, end, kind))
 
     for kind, pattern in FINDERS:
+        if pattern is PHONE:
+            masked = list(text)
+            for a, e, _ in found:
+                masked[a:e] = "x" * (e - a)
+            text = "".join(masked)
         for m in pattern.finditer(text):
-            start, end = m.span(m.lastindex or 0)
+            start, end = m.span(m.lastindex or 0 if kind == "secret" else 0)
             if kind == "secret":
                 end = start + (len(m[m.lastindex].rstrip(AFTER_SECRET)) or end - start) if m.lastindex == SECRET.groups else end
-            add(start, end, kind)
-    for m in _PERSON.finditer(text):
+            if pattern is not PHONE or is_phone(m[0], m["groups"] is not None):
+                add(start, end, kind)
+    for m in _FORM.finditer(text):
         gender = ADDRESS[m[1].lower()]
-        last, first = m[3], m[2].strip()
-        if first and not first[0].isupper():
-            continue
-        if not last[0].isupper():  # only one name follows
-            last, first = first, ""
-            if last:
-                add(m.start(2), m.start(2) + len(last), f"name:u:{script_of(last)}")
-            continue
-        if first:
-            add(m.start(2), m.start(2) + len(first), f"name:{gender}:{script_of(first)}")
-        add(m.start(3), m.end(3), f"name:u:{script_of(last)}")
+        names = names_after(text, m.end(), m[1].isupper() and len(m[1].rstrip(".")) > 1)
+        for start, end in names[:-1]:
+            add(start, end, f"name:{gender}:{script_of(text[start])}")
+        for start, end in names[-1:]:
+            add(start, end, f"name:u:{script_of(text[start])}")
     return sorted(found)
 
 
-def _scan(data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, str, str]]:
-    """Text, byte bounds, kind and spelling of the entities of a chunk."""
-    for row, start, end in snippets(data, bounds):
-        piece = data[start:end].tobytes().decode("utf-8", "replace")
-        for a, e, kind in entities(piece):
-            s = start + len(piece[:a].encode())
-            yield row, s, s + len(piece[a:e].encode()), kind, piece[a:e]
+def _mentions(text: str, names: dict[str, str]) -> Iterator[tuple[int, int, str]]:
+    """Bounds and kinds of the words of a text that are these names, capitalised."""
+    for m in _NAME.finditer(text):
+        whole = m[0][: _OWNER.search(m[0]).start()]
+        parts = [(0, whole)] if whole.lower() in names or "-" not in whole else [(p.start(), p[0]) for p in re.finditer("[^-]+", whole)]
+        for a, part in parts:
+            kind = names.get(part.lower())
+            if kind and part[0].isupper():
+                yield m.start() + a, m.start() + a + len(part), kind
+
+
+def _scan(data: np.ndarray, bounds: np.ndarray, mentions: bool = True) -> Iterator[tuple[int, int, int, str, str]]:
+    """Text, byte bounds, kind and spelling of the entities of a chunk; further mentions of a text's names have a kind of the name's first one."""
+    def found() -> Iterator[tuple[int, int, int, str, str]]:
+        for row, start, end in snippets(data, bounds):
+            piece = data[start:end].tobytes().decode("utf-8", "replace")
+            for a, e, kind in entities(piece):
+                s = start + len(piece[:a].encode())
+                yield row, s, s + len(piece[a:e].encode()), kind, piece[a:e]
+
+    for row, group in groupby(found(), lambda x: x[0]):
+        rows = list(group)
+        names: dict[str, str] = {}
+        for *_, kind, text in rows:
+            if kind.startswith("name") and len(text) > 1:
+                names.setdefault(normal_form(kind, text), kind)
+        if mentions and names:
+            own, k, at, s = rows, 0, 0, int(bounds[row])
+            rows = list(own)
+            text = data[bounds[row] : bounds[row + 1]].tobytes().decode("utf-8", "replace")
+            for a, e, kind in _mentions(text, names):
+                s += len(text[at:a].encode())
+                at, end = a, s + len(text[a:e].encode())
+                while k < len(own) and own[k][2] <= s:
+                    k += 1
+                if k == len(own) or own[k][1] >= end:
+                    rows.append((row, s, end, kind, text[a:e]))
+            rows.sort()
+        yield from rows
 
 
 def _distinct(docs: DataFrame) -> DataFrame:
@@ -265,7 +352,7 @@ def _distinct(docs: DataFrame) -> DataFrame:
         for batch in batches:
             seen = set()
             for _, data, bounds in A.chunks(batch):
-                seen.update((kind, normal_form(kind, text)) for _, _, _, kind, text in _scan(data, bounds))
+                seen.update((kind, normal_form(kind, text)) for _, _, _, kind, text in _scan(data, bounds, mentions=False))
             rows = list(zip(*sorted(seen))) if seen else [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(r, pa.string()) for r in rows], ["kind", "value"])
 
@@ -273,14 +360,22 @@ def _distinct(docs: DataFrame) -> DataFrame:
 
 
 def redrawn(docs: DataFrame, key: bytes) -> DataFrame:
-    """Rows ``kind, value, attempt`` of the entities whose first surrogate collides."""
+    """Rows ``kind, value, attempt, as_kind`` of the entities whose first surrogate collides, or whose name has another gender elsewhere."""
     def draws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             new = [surrogate(k, v, key, a) for k, v, a in zip(*(c.to_pylist() for c in batch.columns))]
             yield batch.append_column("new", pa.array(new, pa.string()))
 
     schema = "kind string, value string, attempt int, new string"
-    all_ = written(_distinct(docs), "entities")
+    named, parts = F.col("kind").startswith("name"), F.split("kind", ":")
+    script = F.when(named, parts[2])
+    each = _distinct(docs).groupBy("value", F.when(named, "name").otherwise(F.col("kind")).alias("type"), script.alias("script")).agg(
+        F.collect_set("kind").alias("kinds"), F.array_remove(F.collect_set(F.when(named, parts[1])), "u").alias("genders")
+    )
+    gender = F.when(F.size("genders") == 1, F.col("genders")[0]).otherwise("u")
+    kind = F.when(F.col("script").isNull(), F.col("type")).otherwise(F.concat_ws(":", "type", gender, "script"))
+    each = written(each.select(kind.alias("kind"), "value", "kinds"), "entities")
+    all_ = each.select("kind", "value")
     space = F.when(F.col("kind").startswith("name"), "name").otherwise(F.col("kind"))
     originals = all_.select(space.alias("space"), F.col("value").alias("new")).distinct()
     state = written(all_.select("kind", "value", F.lit(0).alias("attempt")).mapInArrow(draws, schema), "draws")
@@ -293,7 +388,9 @@ def redrawn(docs: DataFrame, key: bytes) -> DataFrame:
             break
         again = marked.where("bad").select("kind", "value", F.lit(attempt).alias("attempt")).mapInArrow(draws, schema)
         state = marked.where("NOT bad").drop("bad").unionByName(again)
-    return state.where("attempt > 0").select("kind", "value", "attempt")
+    drawn = each.where("kinds != array(kind)").select("kind", "value", F.lit(0).alias("attempt")).unionByName(state.where("attempt > 0").select("kind", "value", "attempt"))
+    drawn = drawn.groupBy("kind", "value").agg(F.max("attempt").alias("attempt"))
+    return each.join(drawn, ["kind", "value"]).select(F.explode("kinds").alias("seen"), "value", "attempt", F.col("kind").alias("as_kind")).withColumnRenamed("seen", "kind")
 
 
 def with_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
@@ -305,7 +402,7 @@ def with_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
     schema = docs.withColumns({"n_entities": F.lit(None).cast("int"), "kinds": F.lit(None).cast("array<string>")}).schema
     held = None
     if fits_broadcast(again, 16 << 20):
-        held = docs.sparkSession.sparkContext.broadcast({(r[0], r[1]): r[2] for r in again.collect()})
+        held = docs.sparkSession.sparkContext.broadcast({(r[0], r[1]): (r[3], r[2]) for r in again.collect()})
     else:
         kind = {"key": F.xxhash64("text")}
 
@@ -313,12 +410,12 @@ def with_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
             for batch in batches:
                 for part, data, bounds in A.chunks(batch):
                     of = part.column(0).to_pylist()
-                    rows = sorted({(of[r], k, normal_form(k, t)) for r, _, _, k, t in _scan(data, bounds)})
+                    rows = sorted({(of[r], k, normal_form(k, t)) for r, _, _, k, t in _scan(data, bounds, mentions=False)})
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "kind", "value"])
 
         found = docs.select(F.xxhash64("text").alias("key"), "text").mapInArrow(mentions, "key long, kind string, value string").distinct()
-        found = found.join(again, ["kind", "value"]).groupBy("key").agg(F.collect_list(F.struct("kind", "value", "attempt")).alias("_again"))
+        found = found.join(again, ["kind", "value"]).groupBy("key").agg(F.collect_list(F.struct("kind", "value", "attempt", "as_kind")).alias("_again"))
         docs = docs.withColumns(kind).join(found, "key", "left").select(*columns, "_again")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,8 +427,9 @@ def with_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
                 pieces: dict[int, list] = {}
                 for row, s, e, kind, text in _scan(data, bounds):
                     value = normal_form(kind, text)
-                    attempts = held.value if held is not None else {(x["kind"], x["value"]): x["attempt"] for x in own[row] or []}
-                    new = dressed(kind, text, surrogate(kind, value, key, attempts.get((kind, value), 0)))
+                    attempts = held.value if held is not None else {(x["kind"], x["value"]): (x["as_kind"], x["attempt"]) for x in own[row] or []}
+                    as_kind, attempt = attempts.get((kind, value), (kind, 0))
+                    new = dressed(kind, text, surrogate(as_kind, value, key, attempt))
                     pieces.setdefault(row, []).append((s - int(bounds[row]), e - int(bounds[row]), new.encode()))
                     kinds[row].append(kind.split(":")[0])
                 for row, parts in pieces.items():

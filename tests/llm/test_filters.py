@@ -150,6 +150,25 @@ def test_surrogate_spaces_grow_without_end():
     assert dressed("phone", "(000) 0-0", "123456") == "(123) 4-56"
 
 
+@pytest.mark.parametrize("number", ["+44 20 7946 0958", "+49 30 1234567", "+33 1 23 45 67 89", "030 1234567", "(030) 1234567", "555-0123", "123-45-6789", "01 23 45 67 89", "+4930123456"])
+def test_phone_numbers_of_any_grouping(number):
+    text = f"call {number} or 10.20.30.40 now"
+    assert [text[a:e] for a, e, kind in entities(text) if kind == "phone"] == [number]
+
+
+@pytest.mark.parametrize("number", ["2024-01-15", "15.01.2024", "1990-2000", "1 234 567", "1.234.567", "3.1415926", "1995 250"])
+def test_dates_and_plain_numbers_are_no_phones(number):
+    assert entities(f"in {number} times") == []
+
+
+def test_names_keep_one_surrogate_in_all_mentions(spark):
+    texts = [(1, "Mr. John Michael Smith came. Later Smith and Michael's dog left; the smith stayed. Frau Anna von der Heide-Weber met Smith."), (2, "Dr. John Smith spoke"), (3, "Smith without address")]
+    new = {r["doc_id"]: r["text"] for r in with_surrogates(spark.createDataFrame(texts, "doc_id long, text string"), b"k").collect()}
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) came\. Later (\w+) and (\w+)'s dog left; the smith stayed\. Frau (\w+) von der (\S+) met (\w+)\.", new[1])
+    assert m and m[3] == m[4] == m[8] and m[2] == m[5] and not {"John", "Michael", "Smith", "Anna", "Heide-Weber"} & {*m.groups()}
+    assert new[2] == f"Dr. {m[1]} {m[3]} spoke" and new[3] == texts[2][1] and m[1][-1] in "nrsl"
+
+
 def brute_rule(url):
     if not url or "://" not in url:
         return "", "", None, None
