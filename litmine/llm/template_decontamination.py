@@ -3,7 +3,9 @@
 Tokens are runs of letters and digits, in lower case. A token that starts with a digit becomes a number slot, a
 capitalised one that doesn't start a sentence a name slot, and a unit after a number a unit slot. Windows of
 ``window`` template tokens (all tokens of shorter items), at least half of them no slots, are hashed and
-joined with those of the benchmark. Matched windows of an item on one diagonal (document place
+joined with those of the benchmark. An item's windows with more slots are found in three other ways: by their literal tokens; by template
+and the signs between the tokens, if these tell enough (half of the tokens plain or followed by an operator, three plain tokens or kinds of
+operators); and as part of windows three times as long with ``window // 2`` plain tokens. Matched windows of an item on one diagonal (document place
 less item place) cover tokens of the item; a covered slot counts only while the values of item and
 document map one to one, so a name that stands for two others is no match. A document is
 contaminated by an item if the best diagonal covers at least ``share`` of the item's tokens.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from litmine.llm import arrays as A
 
 NUMBER, NAME, UNIT = 1, 2, 3
+TEMPLATE, LITERAL, SIGNED, LONG = range(4)  # ways in which windows are compared
 UNITS = (
     "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr ms day days week weeks month months year years hour hours minute "
     "minutes second seconds meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms "
@@ -33,6 +36,8 @@ UNITS = (
 ).split()
 STOP = np.zeros(256, bool)
 STOP[list(b".!?\n")] = True
+OPERATOR = np.zeros(256, bool)
+OPERATOR[list(b"+-*/=<>^%()[]{}~&!")] = True
 MATCH = "struct<item_id: bigint, matched: bigint, tokens: bigint, changed_slots: bigint>"
 
 
@@ -66,15 +71,42 @@ class Template:
             unit[0] = False
             unit[1:] &= number[:-1] & ~starts[1:]
             kind[unit] = UNIT
+        self.data, self.literal = data, plain
         self.hashes = np.where(kind > 0, A.mix(kind.astype(A.U64)), plain)
         self.plain = np.concatenate(([0], np.cumsum(kind == 0)))
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where windows of ``n`` tokens with enough plain ones start, and their hashes."""
-        grams = A.gram_hash(self.hashes, n)
+    def signs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each token but the last: a hash of what is between it and the next one besides white space, and whether an operator is."""
+        end, start = self.words.end[:-1], self.words.start[1:]
+        ink = ~A.SPACE[self.data]
+        place, ops = (np.concatenate(([0], np.cumsum(x))) for x in (ink, OPERATOR[self.data]))
+        between = A.span_hash(self.data[ink].astype(A.U64) + A.U64(1), place[end], place[start], A.BYTE_BASE)
+        return between, ops[start] > ops[end]
+
+    def windows(self, n: int, way: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where windows of ``n`` tokens start, and their hashes; by template only those with enough plain ones."""
         at = np.flatnonzero(self.words.room(n))
-        at = at[2 * (self.plain[at + n] - self.plain[at]) >= n]
-        return at, grams[at]
+        if way == TEMPLATE:
+            at = at[2 * (self.plain[at + n] - self.plain[at]) >= n]
+        if not len(at):
+            return at, np.zeros(0, A.U64)
+        if way == SIGNED:
+            between, _ = self.signs()
+            pairs = A.gram_hash(A.mix(self.hashes[:-1] ^ A.mix(between)), n - 1)
+            return at, A.mix(pairs[at] ^ A.mix(self.hashes[at + n - 1]))
+        return at, A.gram_hash(self.literal if way == LITERAL else self.hashes, n)[at]
+
+    def dense(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Whether windows have more than half slots."""
+        return 2 * (self.plain[at + n] - self.plain[at]) < n
+
+    def telling(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Whether windows that have many slots can be known by their plain tokens and operators."""
+        between, operator = self.signs()
+        ops = np.concatenate(([0], np.cumsum(operator)))
+        plain = self.plain[at + n] - self.plain[at]
+        kinds = np.array([len(set(between[a : a + n - 1][operator[a : a + n - 1]].tolist())) for a in at.tolist()], np.int64)
+        return (2 * (plain + ops[at + n - 1] - ops[at]) >= n) & (plain + kinds >= 3)
 
     def value(self, i: int) -> bytes:
         return self.low[self.words.start[i] : self.words.end[i]].tobytes()
@@ -99,22 +131,37 @@ class TemplateIndex:
         self.first = self.template.words.first
         counts = self.template.words.counts
         row = self.template.words.rows()
-        self.by_length = {}
-        for n in sorted({min(window, int(c)) for c in counts if c}):
-            at, h = self.template.windows(n)
-            mine = np.minimum(window, counts[row[at]]) == n
-            at, h = at[mine], h[mine]
-            order = np.argsort(h, kind="stable")
-            if len(order):
-                self.by_length[n] = h[order], at[order], row[at[order]]
+        self.by_way = {}
+        size = counts[row]
+        for way in (TEMPLATE, LITERAL, SIGNED, LONG):
+            longest = 3 * window if way == LONG else window
+            for n in sorted({min(longest, int(c)) for c in counts if c > (window if way == LONG else way == SIGNED)}):
+                at, h = self.template.windows(n, way)
+                keep = np.minimum(longest, size[at]) == n
+                if way in (LITERAL, SIGNED):
+                    keep &= self.template.dense(at, n)
+                elif way == LONG:  # with a dense window inside
+                    first = np.flatnonzero(self.template.words.room(window))
+                    inner = np.zeros(len(row) + 1, np.int64)
+                    inner[first[self.template.dense(first, window)] + 1] = 1
+                    inner = np.cumsum(inner)
+                    plain = self.template.plain[at + n] - self.template.plain[at]
+                    keep &= (inner[at + n - window + 1] > inner[at]) & (2 * plain >= window)
+                at, h = at[keep], h[keep]
+                if way == SIGNED and len(at):
+                    keep = self.template.telling(at, n)
+                    at, h = at[keep], h[keep]
+                order = np.argsort(h, kind="stable")
+                if len(order):
+                    self.by_way[way, n] = h[order], at[order], row[at[order]]
 
     def matches(self, data: np.ndarray, bounds: np.ndarray, share: float) -> list[list[dict]]:
         """For each text of a chunk the items that contaminate it."""
         doc = Template(data, bounds)
         row = doc.words.rows()
         covered: dict[tuple[int, int, int], set[int]] = defaultdict(set)
-        for n, (keys, at, item) in self.by_length.items():
-            place, h = doc.windows(n)
+        for (way, n), (keys, at, item) in self.by_way.items():
+            place, h = doc.windows(n, way)
             low, high = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
             for k in np.flatnonzero(high > low).tolist():
                 p = int(place[k])

@@ -224,6 +224,16 @@ def test_templates_catch_reparameterised_questions(spark, rows, none):
     assert decontaminated(rows, bench.limit(0)).count() == rows.count()
 
 
+def test_templates_catch_items_of_mostly_numbers_and_names(spark):
+    sum_, table = "Compute 12 + 35 - 7 * 4 / 2 + 9", "the pupils Maria, Peter, Olaf, Ingrid, Paul, Anna, Otto, Karla and Hans got 12, 15, 8, 19, 11, 7, 14, 3 and 5 points"
+    other = table.replace("Peter", "Viktor").replace("12", "16").replace("Hans", "Emil").replace("19", "20")
+    texts = [(1, f"{sentence(1, 20)}. {sum_}. {sentence(2, 20)}"), (2, f"see. Compute 13 + 31 - 5 * 6 / 3 + 8. {sentence(3, 9)}"), (3, f"so {table} then"), (4, f"so {other} then"),
+             (5, "Compute 13 - 31 * 5 / 6 + 3 + 8"), (6, "then 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14"), (7, sentence(4, 40)), (8, "x 4 8 15 16 23 42 y")]
+    bench = spark.createDataFrame([(1, sum_), (2, table)], "item_id long, text string")
+    got = {r["doc_id"]: [m["item_id"] for m in r["matches"]] for r in template_matches(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect()}
+    assert got == {1: [1], 2: [1], 3: [2], 4: [2], 5: [], 6: [], 7: [], 8: []}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 100, 4096, 5000])
 def test_feistel_is_a_permutation(n):
     slots = feistel(np.arange(n), n, 7)
