@@ -1,14 +1,15 @@
 """Benchmark decontamination by templates: re-parameterised questions share a template, with consistent slots.
 
 Tokens are runs of letters and digits, in lower case. A token that starts with a digit becomes a number slot, a
-capitalised one that doesn't start a sentence a name slot, and a unit after a number a unit slot. Windows of
+capitalised one that doesn't start a sentence a name slot, and a unit after a number a unit slot. Names or numbers with only
+white space between them are one slot, whose value is all of them. Windows of
 ``window`` template tokens (all tokens of shorter items), at least half of them no slots, are hashed and
 joined with those of the benchmark. An item's windows with more slots are found in three other ways: by their literal tokens; by template
 and the signs between the tokens, if these tell enough (half of the tokens plain or followed by an operator, three plain tokens or kinds of
 operators); and as part of windows three times as long with ``window // 2`` plain tokens. Matched windows of an item on one diagonal (document place
-less item place) cover tokens of the item; a covered slot counts only while the values of item and
-document map one to one, so a name that stands for two others is no match. A document is
-contaminated by an item if the best diagonal covers at least ``share`` of the item's tokens.
+less item place) cover tokens of the item, and diagonals that are at most ``window`` tokens apart from the next one, as inserted or missing words make them, are added
+up; a covered slot counts only while the values of item and document map one to one, so a name that stands for two others is no match. A document is
+contaminated by an item if the best such group of diagonals covers at least ``share`` of the item's tokens, or ``enough`` of them.
 
 The benchmark is read in blocks of at most ``block_bytes``, measured, and each block is broadcast;
 documents are never shuffled. Null or empty texts match nothing, also as items. Repeated rows
@@ -71,6 +72,16 @@ class Template:
             unit[0] = False
             unit[1:] &= number[:-1] & ~starts[1:]
             kind[unit] = UNIT
+            more = np.zeros(len(plain), bool)  # a name or number that goes on
+            more[1:] = (kind[1:] == kind[:-1]) & ((kind[1:] == NAME) | (kind[1:] == NUMBER))
+            ink, lines = (np.concatenate(([0], np.cumsum(x))) for x in (~A.SPACE[data], data == 10))
+            more[1:] &= (ink[head[1:]] == ink[words.end[:-1]]) & (lines[head[1:]] == lines[words.end[:-1]])
+            more[words.first[:-1][words.counts > 0]] = False
+            if more.any():
+                self.kind = kind = kind[~more]
+                start, end = head[~more], words.end[np.concatenate((~more[1:], [True]))]
+                self.words = words = A.Words(data, bounds, start, end, np.searchsorted(start, bounds))
+                plain = A.span_hash(self.low.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE)
         self.data, self.literal = data, plain
         self.hashes = np.where(kind > 0, A.mix(kind.astype(A.U64)), plain)
         self.plain = np.concatenate(([0], np.cumsum(kind == 0)))
@@ -125,6 +136,7 @@ class TemplateIndex:
     """The windows of benchmark items by length and hash."""
 
     def __init__(self, items: list[tuple[int, str]], window: int) -> None:
+        self.window = window
         self.ids = [i for i, _ in items]
         raw = [t.encode() for _, t in items]
         self.template = Template(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64))
@@ -155,37 +167,53 @@ class TemplateIndex:
                 if len(order):
                     self.by_way[way, n] = h[order], at[order], row[at[order]]
 
-    def matches(self, data: np.ndarray, bounds: np.ndarray, share: float) -> list[list[dict]]:
+    def consistent(self, doc: Template, diagonals: dict[int, set[int]]) -> tuple[int, int]:
+        """How many tokens of an item the diagonals cover with slots that map one to one, and how many slots have another value.
+
+        A token is looked at on the longest diagonal that covers it first.
+        """
+        to, back, changed, seen = {}, {}, set(), set()
+        for shift in sorted(diagonals, key=lambda s: (-len(diagonals[s]), s)):
+            for q in sorted(diagonals[shift] - seen):
+                if self.template.kind[q]:
+                    kind, old, new = int(self.template.kind[q]), self.template.value(q), doc.value(q + shift)
+                    if to.setdefault((kind, old), new) != new or back.setdefault((kind, new), old) != old:
+                        continue
+                    if old != new:
+                        changed.add((kind, old))
+                seen.add(q)
+        return len(seen), len(changed)
+
+    def matches(self, data: np.ndarray, bounds: np.ndarray, share: float, enough: int) -> list[list[dict]]:
         """For each text of a chunk the items that contaminate it."""
         doc = Template(data, bounds)
         row = doc.words.rows()
-        covered: dict[tuple[int, int, int], set[int]] = defaultdict(set)
+        covered: dict[tuple[int, int], dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for (way, n), (keys, at, item) in self.by_way.items():
             place, h = doc.windows(n, way)
             low, high = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
             for k in np.flatnonzero(high > low).tolist():
                 p = int(place[k])
                 for j in range(low[k], high[k]):
-                    covered[int(row[p]), int(item[j]), p - int(at[j])].update(range(int(at[j]), int(at[j]) + n))
+                    covered[int(row[p]), int(item[j])][p - int(at[j])].update(range(int(at[j]), int(at[j]) + n))
         found: list[dict[int, dict]] = [{} for _ in range(len(bounds) - 1)]
-        for (t, i, shift), tokens in covered.items():
+        for (t, i), diagonals in covered.items():
             size = int(self.first[i + 1] - self.first[i])
-            to, back, changed, matched = {}, {}, set(), 0
-            for q in sorted(tokens):
-                if self.template.kind[q]:
-                    kind, old, new = int(self.template.kind[q]), self.template.value(q), doc.value(q + shift)
-                    if to.setdefault((kind, old), new) != new or back.setdefault((kind, new), old) != old:
+            shifts = sorted(diagonals)
+            cuts = [0, *(k for k in range(1, len(shifts)) if shifts[k] - shifts[k - 1] > self.window), len(shifts)]
+            for a, e in zip(cuts[:-1], cuts[1:]):
+                # the single diagonals count too: added up, their slots could hinder each other
+                for group in [shifts[a:e], *([s] for s in shifts[a:e] if e - a > 1)]:
+                    if sum(len(diagonals[s]) for s in group) < min(share * size, enough):
                         continue
-                    if old != new:
-                        changed.add((kind, old))
-                matched += 1
-            if matched >= share * size and matched > found[t].get(i, {"matched": 0})["matched"]:
-                found[t][i] = {"item_id": self.ids[i], "matched": matched, "tokens": size, "changed_slots": len(changed)}
+                    matched, changed = self.consistent(doc, {s: diagonals[s] for s in group})
+                    if matched >= min(share * size, enough) and matched > found[t].get(i, {"matched": 0})["matched"]:
+                        found[t][i] = {"item_id": self.ids[i], "matched": matched, "tokens": size, "changed_slots": changed}
         return [[f[i] for i in sorted(f)] for f in found]
 
 
 def template_matches(
-    docs: DataFrame, benchmark: DataFrame, window: int = 8, share: float = 0.5, block_bytes: int = 16 << 20
+    docs: DataFrame, benchmark: DataFrame, window: int = 8, share: float = 0.5, block_bytes: int = 16 << 20, enough: int = 40
 ) -> DataFrame:
     """``docs`` with ``matches``: the items of ``benchmark (item_id, text)`` that contaminate each row."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
@@ -202,7 +230,7 @@ def template_matches(
             index = TemplateIndex(held.value, window)
             for batch in batches:
                 for rows, data, bounds in A.chunks(batch):
-                    new = index.matches(data, bounds, share)
+                    new = index.matches(data, bounds, share, enough)
                     old = rows.column(place).to_pylist()
                     yield rows.set_column(place, "matches", pa.array([(o or []) + n for o, n in zip(old, new)], kind))
 

@@ -234,6 +234,21 @@ def test_templates_catch_items_of_mostly_numbers_and_names(spark):
     assert got == {1: [1], 2: [1], 3: [2], 4: [2], 5: [], 6: [], 7: [], 8: []}
 
 
+def test_templates_catch_longer_values_inserted_words_and_long_quotes(spark):
+    words = sentence(11, 400).translate(str.maketrans("", "", "0123456789")).split()
+    item = " ".join([*words[:8], "Maria", *words[8:15], "Peter", *words[15:22]])
+    names = item.replace("Maria", "Anna Lena").replace("Peter", "Karl Otto")
+    more = item.split()
+    more[8:8], more[17:17] = ["also"], ["then"]
+    plain, long = " ".join(words[30:54]), " ".join(words[60:210])
+    spread = " ".join([*words[30:38], "one", *words[38:46], "more", *words[46:54]])
+    number = f"{' '.join(words[220:228])} 1200 {' '.join(words[228:234])}"
+    texts = [(1, names), (2, " ".join(more)), (3, spread), (4, " ".join(words[80:140])), (5, number.replace("1200", "1 300")), (6, " ".join(words[80:110])), (7, sentence(12, 50))]
+    bench = spark.createDataFrame([(1, item), (3, plain), (4, long), (5, number)], "item_id long, text string")
+    got = {r["doc_id"]: [m["item_id"] for m in r["matches"]] for r in template_matches(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect()}
+    assert got == {1: [1], 2: [1], 3: [3], 4: [4], 5: [5], 6: [], 7: []}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 100, 4096, 5000])
 def test_feistel_is_a_permutation(n):
     slots = feistel(np.arange(n), n, 7)
