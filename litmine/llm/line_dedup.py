@@ -1,7 +1,8 @@
 """Near-duplicate lines by a segment-partition edit join.
 
 Lines are cut at newlines and trimmed of ASCII white space; empty ones are no lines. Two lines of at least ``min_chars`` code points
-match if their edit distance is at most ``tau``; shorter ones only if equal. Classes are the connected components
+match if their edit distance is at most ``tau``; if the shorter one has fewer, but at least ``short_chars``, if it is at most ``tau // 2``; below that
+only if equal. Classes are the connected components
 of matches. The first occurrence of a class (smallest document id, then line) stays, the others are removed.
 
 A line of length n is cut into tau + 1 segments, and a matching line has one of them as a substring at nearly the same
@@ -11,7 +12,7 @@ shifted. Keys meet in hash buckets; a line that a task holds often sends its key
 that two different lines share go on. Pairs whose lengths or parities of letter pairs are too far apart are no candidates. Those left are verified by a banded bit-parallel edit distance, against one line of a
 key first (``components.cluster``), so a large group of variants is not paired with itself.
 
-Lines are known by 64-bit hashes; where two have the same hash, the tried pair has one text. Null texts have
+Lines around ``min_chars`` have keys of both kinds. Lines are known by 64-bit hashes; where two have the same hash, the tried pair has one text. Null texts have
 no lines. Rows with the same id are versions of one document: their lines at one place count as one occurrence, and stay or go
 together. A null id comes last. Other columns are not read.
 """
@@ -132,7 +133,7 @@ def _parities(data: np.ndarray, heads: np.ndarray, first: np.ndarray, last: np.n
     return (total[last - 1] ^ total[first]).view(np.int64)
 
 
-def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min_chars: int, plans: dict):
+def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min_chars: int, short_chars: int, plans: dict):
     """Index and probe keys of the lines given by byte bounds: key, line number, whether it indexes."""
     heads = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
     first, last = np.searchsorted(heads, start), np.searchsorted(heads, end)
@@ -140,10 +141,16 @@ def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min
     heads = np.append(heads, len(data))
     marks = _parities(data, heads, first, last)
     spans, lines, salts, leads = [], [], [], []
-    for n in np.unique(sizes[sizes >= min_chars]).tolist():
+    floor = min(short_chars, min_chars) if tau > 1 else min_chars
+    for n in np.unique(sizes[sizes >= floor]).tolist():
         mine = np.flatnonzero(sizes == n)
         if n not in plans:
-            own, look = probes(n, tau)
+            # a line has keys for each distance that it can be matched by
+            tiers = ([(tau, 0)] if n >= min_chars else []) + ([(tau // 2, 32)] if n < min_chars + tau // 2 and floor < min_chars else [])
+            own, look = [], []
+            for t, salt in tiers:
+                for out, keys in zip((own, look), probes(n, t)):
+                    out += [(length, i + salt, s, size) for length, i, s, size in keys]
             plans[n] = (np.array([x[2:] for x in own + look]), np.array([x[0] * 64 + x[1] for x in own + look]), np.arange(len(own + look)) < len(own))
         place, salt, lead = plans[n]
         a = first[mine][:, None] + place[:, 0][None, :]
@@ -159,7 +166,7 @@ def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min
     return h, np.concatenate(lines), np.concatenate(leads), sizes, marks
 
 
-def _candidates(docs: DataFrame, tau: int, min_chars: int, buckets: int) -> DataFrame:
+def _candidates(docs: DataFrame, tau: int, min_chars: int, short_chars: int, buckets: int) -> DataFrame:
     """Rows ``k, id, size, missed, score, lead`` of the keys that different lines share; ``missed`` holds the line's parities."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +199,7 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int, buckets: int) -> Data
                 if not len(start):
                     continue
                 names = A.span_hash(data.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE).view(np.int64)
-                key, line, lead, sizes, marks = _keys_of(data, start, end, tau, min_chars, plans)
+                key, line, lead, sizes, marks = _keys_of(data, start, end, tau, min_chars, short_chars, plans)
                 if len(key):
                     held.append((key, names[line], sizes[line], marks[line], lead))
                     total += len(key)
@@ -257,21 +264,23 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return packed_texts(docs, ["doc"]).join(wanted, "doc").mapInArrow(scan, "line long, text binary").dropDuplicates(["line"])
 
 
-def line_dedup(docs: DataFrame, tau: int = 2, min_chars: int = 40) -> DataFrame:
+def line_dedup(docs: DataFrame, tau: int = 2, min_chars: int = 40, short_chars: int = 20) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_lines, n_removed, removed`` (line numbers from 0), ``copied_from`` (ids of the
     documents whose lines stay for them) and ``kept``, the text without those lines."""
     if min_chars <= tau:
         raise ValueError("min_chars must be greater than tau")
+    if short_chars <= tau // 2:
+        raise ValueError("short_chars must be greater than tau // 2")
     rows = docs.select(id_or_last().alias("doc"), "text")
     found = written(_occurrences(rows), "lines")
-    keys = written(_candidates(rows, tau, min_chars, bucket_count(docs)), "keys")
+    keys = written(_candidates(rows, tau, min_chars, short_chars, bucket_count(docs)), "keys")
     homes = keys.select(F.col("id").alias("line")).distinct().join(found.groupBy("line").agg(F.min("doc").alias("doc")), "line")
     lines = written(_texts(rows, homes.groupBy("doc").agg(F.collect_list("line").alias("lines"))), "texts")
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [[x.decode() for x in batch.column(i).to_pylist()] for i in (2, 3)]
-            kept = batch.select([0, 1]).filter(pa.array([banded_distance(p, t, tau) <= tau for p, t in zip(*texts)], pa.bool_()))
+            kept = batch.select([0, 1]).filter(pa.array([banded_distance(p, t, tau) <= (tau if min(len(p), len(t)) >= min_chars else tau // 2) for p, t in zip(*texts)], pa.bool_()))
             if kept.num_rows:
                 yield kept
 
@@ -281,7 +290,8 @@ def line_dedup(docs: DataFrame, tau: int = 2, min_chars: int = 40) -> DataFrame:
 
 
     def near(n, mark, m, other):
-        return (F.abs(n - m) <= tau) & (F.bit_count(mark.bitwiseXOR(other)) <= 4 * tau)
+        most = F.when(F.least(n, m) >= min_chars, tau).otherwise(tau // 2)
+        return (F.abs(n - m) <= most) & (F.bit_count(mark.bitwiseXOR(other)) <= 4 * most)
 
     labels = cluster(keys, verify, near)
     classed = found.join(labels.withColumnRenamed("id", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))

@@ -156,6 +156,15 @@ def test_line_dedup_matches_brute_force(spark):
         assert r_["kept"] == "\n".join(x for i, x in enumerate(dict(texts)[r_["doc_id"]].split("\n")) if i not in want[r_["doc_id"]])
 
 
+def test_line_dedup_compares_short_lines_by_a_smaller_distance(spark):
+    a, b = "Anheerat by in ofonthhahe er. Erin.", "Anheerat, by in ofonthhahe er. Erin."
+    edge = "a line of thirty-nine code points, yes"
+    lines = [a, b, b.replace("Erin", "Orun"), edge + "x", edge + "xy", "a line of twenty one.", "a line of twenty-one.", "nineteen characters", "nineteen_characters", "b" * 39 + "cd", "b" * 39 + "ef"]
+    docs = spark.createDataFrame([(k, x) for k, x in enumerate(lines)], "doc_id long, text string")
+    assert len(edge) == 38 and len(lines[7]) == 19
+    assert {r["doc_id"] for r in line_dedup(docs, tau=2, min_chars=40).collect() if r["n_removed"]} == {1, 4, 6, 10}
+
+
 def test_line_quality_on_awkward_rows(rows):
     got = {(r["doc_id"], r["n_words"]): r for r in line_quality(rows).collect()}
     assert got[4, 0]["base_failed"] and not got[4, 0]["kept"] and got[1, 120]["kept"] and got[14, 60]["n_dup_lines"] == 4
