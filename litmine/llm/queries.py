@@ -9,6 +9,7 @@ from litmine.llm import sql
 from litmine.llm.host_reputation import judge_urls
 from litmine.llm.line_dedup import line_dedup
 from litmine.llm.line_quality import line_quality
+from litmine.llm.merkle_manifest import audited, merkle_manifest
 from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
 from litmine.llm.substring_dedup import substring_dedup
@@ -85,6 +86,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), gram=4, percent=85)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(merkle_manifest(documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, None),
     "op2_url_filters": (op2_url_filters, sql.HOSTS),
@@ -96,4 +101,5 @@ QUERIES = {
     "op8_substring_dedup": (op8_substring_dedup, sql.SUBSTRING),
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, sql.JACCARD),
+    "op11_merkle_manifest": (op11_merkle_manifest, sql.MERKLE),
 }

@@ -141,3 +141,58 @@ SELECT p.page_id, p.host, p.path, fit.rule,
 FROM p CROSS JOIN overall AS o LEFT JOIN h ON p.host = h.host LEFT JOIN d ON p.domain = d.domain LEFT JOIN s ON p.suffix = s.suffix
     LEFT JOIN fit ON p.page_id = fit.page_id AND p.url = fit.url
 """
+
+CRC_TABLE = """
+crc AS (SELECT [list_reduce([n, 1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) FOR n IN range(256)] AS crc_table)"""
+
+
+def crc32(value: str) -> str:
+    """The unsigned crc32 of a number's decimal text, with ``crc`` among the tables."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split({value}::VARCHAR, '')]),
+        lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
+def _framed(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+_LEAF = " || ".join(map(_framed, ["doc_id", "source", "lang", "n_chars"]))
+
+
+def _levels(name: str, start: str) -> str:
+    """All nodes of the trees of ``start (tree, i, h, n)``, level by level."""
+    return f"""{name} AS (
+    SELECT tree, 0 AS l, i, h, n FROM {start}
+    UNION ALL
+    SELECT tree, l + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, l, i // 3, n
+)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE},
+leaf AS (
+    SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({_LEAF} || {_framed("text")}) AS h,
+        CASE WHEN doc_id IS NOT NULL AND {crc32("coalesce(doc_id, 0)")} % 2 = 0 THEN sha256({_LEAF} || {_framed("replace(text, chr(10), '')")}) END AS changed FROM documents, crc
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaf
+), {_levels("inner_nodes", "placed")},
+subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM inner_nodes WHERE n = 1),
+tops AS (SELECT 'all' AS tree, i, subroot AS h, n FROM subroots),
+{_levels("outer_nodes", "tops")},
+steps AS (
+    SELECT tree, l, i, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+        coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt, tree AS tree2, l + 1 AS l2, i // 3 AS i2
+    FROM (SELECT * FROM inner_nodes UNION ALL SELECT * FROM outer_nodes) WHERE n > 1 WINDOW r AS (PARTITION BY tree, l, i // 3 ORDER BY i)
+    UNION ALL
+    SELECT n.tree, n.l, n.i, NULL, NULL, 'all', 0, s.i FROM inner_nodes AS n JOIN subroots AS s ON s.tree = n.tree WHERE n.n = 1
+), fold AS (
+    SELECT tree AS own, i AS place, tree, 0 AS l, i, coalesce(changed, h) AS h, '' AS proof FROM placed
+    UNION ALL
+    SELECT own, place, tree2, l2, i2, CASE WHEN lft IS NULL THEN h ELSE sha256(lft || h || rgt) END, proof || coalesce(lft || rgt, '')
+    FROM fold JOIN steps USING (tree, l, i)
+), ends AS (SELECT own AS tree, place AS i, h AS folded_root, sha256(proof) AS proof_sha256 FROM fold ANTI JOIN steps USING (tree, l, i)),
+top AS (SELECT h AS root FROM outer_nodes WHERE n = 1)
+SELECT doc_id, h AS leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (tree) JOIN ends ON ends.tree = placed.tree AND ends.i = placed.i CROSS JOIN top
+"""
