@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litmine.llm import sql
+from litmine.llm.conversation_trie import conversation_trie
 from litmine.llm.host_reputation import judge_urls
 from litmine.llm.line_dedup import line_dedup
 from litmine.llm.line_quality import line_quality
 from litmine.llm.merkle_manifest import audited, merkle_manifest
+from litmine.llm.minmax_dedup import minmax_components
 from litmine.llm.source_mix import mix_sources
 from litmine.llm.jaccard_join import jaccard_components
 from litmine.llm.substring_dedup import substring_dedup
@@ -90,6 +92,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited(merkle_manifest(documents(spark, sf_dir)))
 
 
+def op12_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_components(documents(spark, sf_dir), gram=2, percent=80)
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_line_dedup": (op1_line_dedup, None),
     "op2_url_filters": (op2_url_filters, sql.HOSTS),
@@ -102,4 +112,6 @@ QUERIES = {
     "op9_quality_rules": (op9_quality_rules, sql.QUALITY),
     "op10_ngram_jaccard_join": (op10_ngram_jaccard_join, sql.JACCARD),
     "op11_merkle_manifest": (op11_merkle_manifest, sql.MERKLE),
+    "op12_minmax_dedup": (op12_minmax_dedup, sql.NEAR),
+    "op13_conversation_trie": (op13_conversation_trie, sql.TRIE),
 }

@@ -196,3 +196,53 @@ top AS (SELECT h AS root FROM outer_nodes WHERE n = 1)
 SELECT doc_id, h AS leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
 FROM placed JOIN subroots USING (tree) JOIN ends ON ends.tree = placed.tree AND ends.i = placed.i CROSS JOIN top
 """
+
+NEAR = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(coalesce({LOWER}, ''), '{WORD}') AS words FROM documents
+), s AS (
+    SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN words
+        ELSE list_distinct([words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id
+        JOIN n AS p ON p.doc_id = a.doc_id JOIN n AS q ON q.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS at FROM documents
+    UNION
+    SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.at = links.x
+), found AS (SELECT doc_id, min(reach.at) AS component_id FROM reach GROUP BY doc_id)
+SELECT f.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, f.doc_id = component_id AS kept FROM found AS f LEFT JOIN n ON n.doc_id = f.doc_id
+"""
+
+TRIE = f"""
+WITH {CRC_TABLE},
+t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), c AS (SELECT conv_id, {crc32("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (
+    SELECT c.conv_id, 0 AS own, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+    UNION ALL
+    SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h
+), p AS (
+    SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars, list({{'r': role, 't': text}}) OVER w AS key
+    FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, pos)
+    UNION ALL
+    SELECT conv_id, 0, 0, []::STRUCT(r VARCHAR, t VARCHAR)[] FROM c
+), lens AS (SELECT conv_id, max(depth) AS size FROM p GROUP BY conv_id),
+nodes AS (
+    SELECT key, depth, min(p.conv_id) AS conv_id, count(*) AS n, max(chars) AS chars,
+        sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (depth = size), '')) AS ends_sha256
+    FROM p JOIN lens USING (conv_id) GROUP BY key, depth
+), kids AS (SELECT key[1:depth - 1] AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+own AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (key)),
+under AS (
+    SELECT a.key, count(*) FILTER (n_children = 0) AS n_leaves, sum((n - 1) * u.chars)::BIGINT AS saved_tokens
+    FROM own AS u JOIN p AS a ON a.conv_id = u.conv_id AND a.depth <= u.depth GROUP BY a.key
+)
+SELECT o.conv_id, o.depth, m.conv_id AS parent_conv_id, o.n AS n_convs, o.n_children, n_leaves, saved_tokens, o.ends_sha256
+FROM own AS o JOIN under USING (key) LEFT JOIN nodes AS m ON o.depth > 0 AND m.key = o.key[1:o.depth - 1]
+"""
