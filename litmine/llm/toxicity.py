@@ -1,25 +1,26 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine, found with block-max inverted lists.
 
 Examples are a bounded sample of the labelled rows given: of each class the ``max_examples`` with the smallest
-hash of their id. Terms are runs of letters and digits in lower case; the vector space is spanned by at most ``max_terms`` terms
-whose presence tells the classes of the sample apart by at least ``min_z`` standard errors. Document
-frequencies are counted over all documents. Weights are (1 + log tf) * idf, vectors have length one.
+hash of their id. Terms are runs of letters and digits in lower case, and the beginnings of ``STEMS`` code points of longer ones, so
+that inflected forms have a stem in common. A term counts by how far it tells the classes of the sample apart: its presence in toxic
+examples exceeds that in others by z standard errors, and its axis is stretched by what z has beyond ``MARGIN``. All such terms span
+the space; there is no limit to their number but the sample. A last axis, ``COMMON``, is the same for all texts: texts in which little speaks
+for a class are near to each other, and one chance term doesn't make a direction. Document frequencies are counted over all documents.
+Weights are (1 + log tf) * idf * stretch, vectors have length one.
 
 The inverted lists of the examples are cut into blocks of ``BLOCK`` examples; a block's list of a term keeps its
-greatest weight. A query visits blocks in the order of their upper bounds and stops when no block can still reach
-its k-th best cosine, so the neighbours are exact. Ties at the k-th cosine go to the smaller example number. The
+greatest weight. A query visits blocks in the order of their upper bounds and leaves out those that can no longer reach
+its k-th best cosine, so the neighbours are exact. All examples at the k-th cosine are neighbours. The
 neighbours vote by 1 / (distance + ``EPSILON``), and by the number of labelled rows that an example of its class stands for.
-A document without any term is as near to every example without one. The share of toxic votes
-is calibrated by isotonic regression on the examples themselves, each left out of its own vote.
+The share of toxic votes is calibrated by isotonic regression on the examples themselves, each left out of its own vote.
 
-Texts are whole; ids, language and source are no inputs. Null and empty texts have no terms and get the score of such
+Texts are whole; ids, language and source are no inputs. Null and empty texts have the common axis only and get the score of such
 documents. Without examples of both classes every score is the share of toxic rows, or 0.
-Repeated rows score alike; of repeated labels of an id the greater holds. Other columns are only dropped.
+Repeated rows score alike; of repeated labels of an id the greater holds, of repeated texts of a labelled id the least. Other columns are only dropped.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,23 +32,38 @@ from litmine.llm import arrays as A
 from litmine.session import written
 
 BLOCK, EPSILON = 64, 0.05
+STEMS = (4, 5, 6)
+MARGIN, LEAST_EXAMPLES, COMMON = 2.0, 3, 3.0
 
 
-def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[A.Words, np.ndarray]:
+def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and hash of every word and of its beginnings, ordered by text."""
     data = A.lower_latin(data)
     words = A.find_words(data, bounds, A.LETTER[data] | A.DIGIT[data])
-    return words, words.hashes()
+    heads = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
+    first, last = np.searchsorted(heads, words.start), np.searchsorted(heads, words.end)
+    row, start, end, salt = [words.rows()], [words.start], [words.end], [np.zeros(len(words.start), np.int64)]
+    for n in STEMS:
+        longer = np.flatnonzero(last - first > n)
+        row.append(row[0][longer])
+        start.append(words.start[longer])
+        end.append(heads[first[longer] + n])
+        salt.append(np.full(len(longer), n))
+    row, start, end, salt = (np.concatenate(x) for x in (row, start, end, salt))
+    h = A.span_hash(data.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE) + salt.astype(A.U64) * A.U64(A.WORD_BASE)
+    order = np.argsort(row, kind="stable")
+    return row[order], h[order]
 
 
 def counted(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray):
     """Per (text, term of the sorted vocabulary) found: text, term and how often."""
-    words, hashes = terms_of(data, bounds)
+    row, hashes = terms_of(data, bounds)
     if not len(vocabulary) or not len(hashes):
         none = np.zeros(0, np.int64)
         return none, none, none
     place = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
     hit = np.flatnonzero(vocabulary[place] == hashes)
-    pairs, times = np.unique(words.rows()[hit] * len(vocabulary) + place[hit], return_counts=True)
+    pairs, times = np.unique(row[hit] * len(vocabulary) + place[hit], return_counts=True)
     return pairs // len(vocabulary), pairs % len(vocabulary), times
 
 
@@ -56,48 +72,50 @@ class Neighbours:
 
     def __init__(self, vectors: list[dict[int, float]], labels: np.ndarray, weights: np.ndarray, k: int) -> None:
         self.labels, self.weights, self.k, self.size = labels, weights, k, len(vectors)
-        lists: dict[int, list[tuple[int, float]]] = defaultdict(list)
-        for i, vector in enumerate(vectors):
-            for t, w in vector.items():
-                lists[t].append((i, w))
-        self.empty = np.array([i for i, v in enumerate(vectors) if not v], np.int64)
         self.blocks = -(-self.size // BLOCK)
-        self.lists, self.most, self.cuts = {}, {}, {}
-        for t, entries in lists.items():
-            ids, w = np.array([i for i, _ in entries]), np.array([x for _, x in entries])
-            most = np.zeros(self.blocks)
-            np.maximum.at(most, ids // BLOCK, w)
-            self.lists[t], self.most[t] = (ids, w), most
-            self.cuts[t] = np.searchsorted(ids, np.arange(self.blocks + 1) * BLOCK)
-
-    def nearest(self, vector: dict[int, float], leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Example numbers and cosines, best first; without terms, the examples without terms at cosine one."""
-        if not vector:
-            ids = self.empty[self.empty != leave]
-            return ids, np.ones(len(ids))
-        bound = sum(w * self.most[t] for t, w in vector.items() if t in self.most)
-        if isinstance(bound, int):
-            bound = np.zeros(self.blocks)
-        ids, cosines, worst = np.zeros(0, np.int64), np.zeros(0), -1.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(ids) == self.k and bound[b] < worst - 1e-12):
+        entries = sorted((t, i, w) for i, vector in enumerate(vectors) for t, w in vector.items())
+        term, self.ids, self.w = (np.array(c) for c in zip(*entries)) if entries else (np.zeros(0, np.int64),) * 3
+        start, length = A.runs(term)
+        self.terms = {int(term[a]): n for n, a in enumerate(start)}
+        self.most = np.zeros((len(start), self.blocks))
+        of = np.repeat(np.arange(len(start)), length)
+        np.maximum.at(self.most, (of, self.ids // BLOCK), self.w)
+        self.cuts = np.searchsorted(of * self.blocks + self.ids // BLOCK, np.arange(len(start) * self.blocks + 1))
+
+    def cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Example numbers and cosines above 0 of whole blocks, from the lists' parts in these."""
+        part = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
+        a, n = self.cuts[part], self.cuts[part + 1] - self.cuts[part]
+        at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
+        known, place = np.unique(self.ids[at], return_inverse=True)
+        found = np.bincount(place, np.repeat(np.repeat(weights, len(blocks)), n) * self.w[at], minlength=len(known))
+        return known[found > 0], np.round(found[found > 0], 12)
+
+    def nearest(self, vector: dict[int, float], leave: int = -1, ties: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Example numbers and cosines, best first and of equal ones the smaller number; with ``ties`` all that are as near as the k-th."""
+        pairs = [(self.terms[t], w) for t, w in vector.items() if t in self.terms]
+        if not pairs:
+            return np.zeros(0, np.int64), np.zeros(0)
+        terms, weights = np.array([t for t, _ in pairs]), np.array([w for _, w in pairs])
+        bound = weights @ self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        ids, cosines, worst, at, step = np.zeros(0, np.int64), np.zeros(0), -1.0, 0, 2
+        while at < len(order):
+            some = order[at : at + step]
+            some = some[(bound[some] > 0) & (bound[some] >= worst - 1e-9)]
+            if not len(some):
                 break
-            found = np.zeros(BLOCK)
-            for t, w in vector.items():
-                if t in self.lists:
-                    a, e = self.cuts[t][b], self.cuts[t][b + 1]
-                    found[self.lists[t][0][a:e] - b * BLOCK] += w * self.lists[t][1][a:e]
-            near = np.flatnonzero(found > 0)
-            near = near[near + b * BLOCK != leave]
-            ids = np.concatenate((ids, near + b * BLOCK))
-            cosines = np.concatenate((cosines, np.round(found[near], 12)))
-            keep = np.lexsort((ids, -cosines))[: self.k]
-            ids, cosines = ids[keep], cosines[keep]
-            worst = cosines[-1] if len(ids) else -1.0
-        return ids, cosines
+            more, near = self.cosines(terms, weights, some)
+            ids, cosines = np.concatenate((ids, more[more != leave])), np.concatenate((cosines, near[more != leave]))
+            if len(ids) > self.k:
+                worst = -np.partition(-cosines, self.k - 1)[self.k - 1]
+                ids, cosines = ids[cosines >= worst], cosines[cosines >= worst]
+            at, step = at + step, step * 2
+        best = np.lexsort((ids, -cosines))[: None if ties else self.k]
+        return ids[best], cosines[best]
 
     def vote(self, vector: dict[int, float], leave: int = -1) -> tuple[float, np.ndarray]:
-        ids, cosines = self.nearest(vector, leave)
+        ids, cosines = self.nearest(vector, leave, ties=True)
         if not len(ids):
             return float(np.average(self.labels, weights=self.weights)), ids
         power = self.weights[ids] / (1 - np.minimum(cosines, 1) + EPSILON)
@@ -122,10 +140,10 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[list[float],
 
 
 class Model:
-    """What scoring needs; its size is bounded by ``max_terms`` and ``max_examples``."""
+    """What scoring needs; its size is bounded by the terms of the sample."""
 
-    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, examples: list, share: float, k: int) -> None:
-        self.vocabulary, self.idf, self.share = vocabulary, idf, share
+    def __init__(self, vocabulary: np.ndarray, weight: np.ndarray, examples: list, share: float, k: int) -> None:
+        self.vocabulary, self.weight, self.share = vocabulary, weight, share
         self.ids = [e[0] for e in examples]
         labels = np.array([e[1] for e in examples], float)
         self.search = None
@@ -138,9 +156,10 @@ class Model:
         self.known: dict = {}
 
     def vector(self, terms, times) -> dict[int, float]:
-        weights = {int(t): float((1 + np.log(n)) * self.idf[t]) for t, n in zip(terms, times)}
+        weights = {int(t): float((1 + np.log(n)) * self.weight[t]) for t, n in zip(terms, times)}
+        weights[-1] = COMMON
         length = sum(w * w for w in weights.values()) ** 0.5
-        return {t: w / length for t, w in weights.items()} if length else {}
+        return {t: w / length for t, w in weights.items()}
 
     def score(self, terms: tuple, times: tuple) -> tuple[float, list[int]]:
         if self.search is None:
@@ -154,9 +173,7 @@ class Model:
         return self.known[key]
 
 
-def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, max_examples: int = 3000, max_terms: int = 512, min_z: float = 5.0, k: int = 25
-) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k: int = 25) -> Model:
     """Learn from ``labels (doc_id, toxic)`` of rows of ``docs (doc_id, text)``."""
     rows = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = written(rows, "labels")
@@ -166,15 +183,17 @@ def fit_toxicity(
     for value in (0, 1):  # bounded, so it may be broadcast
         one = rows.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
         picked = one if picked is None else picked.unionByName(one)
-    sample = written(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"]), "examples")
+    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = written(texts, "examples")
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in A.chunks(batch):
-                words, hashes = terms_of(data, bounds)
+                row, hashes = terms_of(data, bounds)
+                cut = np.searchsorted(row, np.arange(part.num_rows + 1))
                 toxic = part.column(2).to_numpy()
                 for value in (0, 1):
-                    h = [np.unique(hashes[words.first[t] : words.first[t + 1]]) for t in np.flatnonzero(toxic == value)]
+                    h = [np.unique(hashes[cut[t] : cut[t + 1]]) for t in np.flatnonzero(toxic == value)]
                     if h:
                         h, times = np.unique(np.concatenate(h), return_counts=True)
                         yield pa.RecordBatch.from_arrays(
@@ -183,15 +202,16 @@ def fit_toxicity(
 
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
-    vocabulary = np.zeros(0, A.U64)
+    vocabulary, stretch = np.zeros(0, A.U64), np.zeros(0)
     if pos and neg:
         found = sample.select("doc_id", "text", "toxic").mapInArrow(present, "term long, toxic int, n long").groupBy("term").agg(
             F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("p"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("q")
         )
         rate = (F.col("p") + F.col("q")) / (pos + neg)
-        z = F.abs(F.col("p") / pos - F.col("q") / neg) / F.sqrt(rate * (1 - rate) * (1 / pos + 1 / neg))
-        best = found.where((F.col("p") + F.col("q") >= 5) & (rate < 1)).withColumn("z", z).where(F.col("z") >= min_z)
-        vocabulary = np.sort(np.array([r["term"] for r in best.orderBy(F.desc("z"), "term").limit(max_terms).collect()], np.int64).view(A.U64))
+        z = (F.col("p") / pos - F.col("q") / neg) / F.sqrt(rate * (1 - rate) * (1 / pos + 1 / neg))
+        telling = found.where((F.col("p") + F.col("q") >= LEAST_EXAMPLES) & (rate < 1)).select("term", (z - MARGIN).alias("stretch")).where("stretch > 0")
+        telling = telling.toPandas().sort_values("term", key=lambda t: t.to_numpy().view(A.U64))  # bounded by the sample
+        vocabulary, stretch = telling["term"].to_numpy().view(A.U64), telling["stretch"].to_numpy()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(len(vocabulary), np.int64), 0
@@ -204,6 +224,7 @@ def fit_toxicity(
     counts = docs.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     df = {r["term"]: r["n"] for r in counts}
     idf = np.log((1 + df.get(-1, 0)) / (1 + np.array([df.get(t, 0) for t in range(len(vocabulary))], float))) + 1
+    weight = np.round(idf * stretch, 9)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,7 +239,7 @@ def fit_toxicity(
     kind = dict(sample.dtypes)["doc_id"]
     examples = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, f"doc_id {kind}, toxic int, terms array<bigint>, times array<bigint>")
     held = sorted((r["terms"], r["times"], r["doc_id"], r["toxic"]) for r in examples.collect())  # like examples side by side
-    return Model(vocabulary, idf, [(d, y, t, n) for t, n, d, y in held], share, k)
+    return Model(vocabulary, weight, [(d, y, t, n) for t, n, d, y in held], share, k)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:

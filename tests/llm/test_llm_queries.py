@@ -61,3 +61,19 @@ def test_stages_keep_what_they_should(spark, rows):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, folder), name)
     assert docs.count() > 0
+
+
+def test_toxicity_in_every_language(spark):
+    import numpy as np
+
+    folder = Path("/root/testdata/sf0.1")
+    if not folder.exists():
+        pytest.skip("no larger tables")
+    got = corpus_pipeline.QUERIES["op5_toxicity"][0](spark, str(folder)).toPandas().set_index("doc_id")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").toPandas().set_index("doc_id").toxic
+    got = got.join(labels).join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").toPandas().set_index("doc_id"))
+    held = got[got.held_out & got.toxic.notna()]
+    for lang, part in held.groupby("lang"):
+        pos, neg = part[part.toxic == 1].score.values, part[part.toxic == 0].score.values
+        assert np.mean([(p > neg).mean() + 0.5 * (p == neg).mean() for p in pos]) > 0.9, lang
+    assert (held[held.toxic == 0].predicted == 0).mean() > 0.97 and (held[held.toxic == 1].predicted == 1).mean() > 0.8
