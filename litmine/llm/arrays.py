@@ -50,12 +50,21 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return known
 
 
+class Spans:
+    """Hashes of spans of ``values``: equal spans give equal hashes. The sums are made once for any number of calls."""
+
+    def __init__(self, values: np.ndarray, base: int) -> None:
+        up, self.down = powers(base, len(values) + 1)
+        self.total = np.zeros(len(values) + 1, U64)
+        np.cumsum(values * up[: len(values)], out=self.total[1:])
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(U64))
+
+
 def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
     """A hash of ``values[start:end]`` for every pair of bounds; equal spans give equal hashes."""
-    up, down = powers(base, len(values) + 1)
-    total = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
+    return Spans(values, base).hash(start, end)
 
 
 @dataclass

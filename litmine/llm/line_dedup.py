@@ -31,23 +31,29 @@ from litmine.llm.components import cluster
 from litmine.llm.tables import NO_ID, bucket_count, id_or_last, id_or_null, packed_texts, unpacked
 from litmine.session import written
 
-FLUSH = 1 << 18
+FLUSH, SEEN = 1 << 18, 1 << 20
 EXCHANGE = "bucket int, lines binary, sizes binary, marks binary, k binary, line binary"
 
 
+def _common(p: str, t: str) -> int:
+    """The length of the common beginning, by halving."""
+    low, high = 0, min(len(p), len(t))
+    while low < high:
+        at = (low + high + 1) // 2
+        low, high = (at, high) if p[low:at] == t[low:at] else (low, at - 1)
+    return low
+
+
 def banded_distance(p: str, t: str, tau: int) -> int:
     """The edit distance if it is at most ``tau``, else ``tau + 1``.
 
     Bit-parallel over a band of 2 tau + 1 diagonals: bit b of a column j stands for row j - tau + b. The value is
     followed down the lowest diagonal of the band and then along the last row.
     """
-    start, end_p, end_t = 0, len(p), len(t)
-    while start < end_p and start < end_t and p[start] == t[start]:
-        start += 1
-    while end_p > start and end_t > start and p[end_p - 1] == t[end_t - 1]:
-        end_p -= 1
-        end_t -= 1
-    p, t = p[start:end_p], t[start:end_t]
+    start = _common(p, t)
+    p, t = p[start:], t[start:]
+    end = _common(p[::-1], t[::-1])
+    p, t = p[: len(p) - end], t[: len(t) - end]
     if len(p) > len(t):
         p, t = t, p
     m, n = len(p), len(t)
@@ -122,55 +128,84 @@ def find_lines(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, number, words.start[first[full]], words.end[last[full] - 1]
 
 
+def _points(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """A number for each code point that starts at ``heads``: its bytes in base 256, which is one-to-one."""
+    points = data[heads].astype(A.U64)
+    rest = np.flatnonzero((data & 0xC0) == 0x80)
+    if len(rest) and len(heads):
+        of = np.maximum(np.searchsorted(heads, rest, "right") - 1, 0)
+        np.add.at(points, of, data[rest].astype(A.U64) << (A.U64(8) * np.clip(rest - heads[of], 1, 3).astype(A.U64)))
+    return points
+
+
 def _parities(data: np.ndarray, heads: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """For each line 64 parities of how many of its pairs of neighbouring code points fall into each of 64 classes.
 
     An edit takes away at most two pairs and adds at most two, so it changes at most four parities.
     """
-    points = A.span_hash(data.astype(A.U64) + A.U64(1), heads[:-1], heads[1:], A.BYTE_BASE)
-    pairs = A.mix(points[:-1] * A.U64(A.WORD_BASE) + points[1:]) >> A.U64(58)
-    total = np.concatenate((np.zeros(1, A.U64), np.bitwise_xor.accumulate(A.U64(1) << pairs)))
+    points = _points(data, heads)
+    pairs = (points[:-1] * A.U64(A.WORD_BASE) + points[1:]) * A.U64(A.BYTE_BASE) >> A.U64(58)
+    total = np.zeros(len(pairs) + 1, A.U64)
+    np.bitwise_xor.accumulate(A.U64(1) << pairs, out=total[1:])
     return (total[last - 1] ^ total[first]).view(np.int64)
 
 
-def _keys_of(data: np.ndarray, start: np.ndarray, end: np.ndarray, tau: int, min_chars: int, short_chars: int, plans: dict):
-    """Index and probe keys of the lines given by byte bounds: key, line number, whether it indexes."""
+class Plans:
+    """What to index and to look up for lines of each length, one length after another in flat arrays.
+
+    A line has keys for each distance that it can be matched by.
+    """
+
+    def __init__(self, tau: int, min_chars: int, short_chars: int):
+        self.tau, self.min_chars = tau, min_chars
+        self.floor = min(short_chars, min_chars) if tau > 1 else min_chars
+        self.rows: list[tuple] = []
+        self.known: dict[int, tuple[int, int]] = {}
+        self.flat = np.zeros((0, 4), np.int64)
+
+    def plan(self, n: int) -> None:
+        tiers = ([(self.tau, 0)] if n >= self.min_chars else []) + ([(self.tau // 2, 32)] if n < self.min_chars + self.tau // 2 and self.floor < self.min_chars else [])
+        found = [[], []]
+        for t, salt in tiers:
+            for out, keys in zip(found, probes(n, t)):
+                out += [(s, size, length * 64 + i + salt) for length, i, s, size in keys]
+        self.known[n] = len(self.rows), sum(map(len, found))
+        self.rows += [(*row, lead) for lead, rows in zip((1, 0), found) for row in rows]
+
+    def of(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The line of every key and the key's row ``(start, size, salt, lead)``."""
+        lengths, place = np.unique(sizes, return_inverse=True)
+        lengths = lengths.tolist()
+        new = [n for n in lengths if n >= self.floor and n not in self.known]
+        for n in new:
+            self.plan(n)
+        if new:
+            self.flat = np.array(self.rows, np.int64)
+        start, count = (np.array([self.known.get(n, (0, 0))[i] for n in lengths], np.int64)[place] for i in (0, 1))
+        line = np.repeat(np.arange(len(sizes)), count)
+        return line, self.flat[np.arange(len(line)) + np.repeat(start - np.cumsum(count) + count, count)]
+
+
+def _keys_of(data: np.ndarray, spans: A.Spans, start: np.ndarray, end: np.ndarray, plans: Plans):
+    """Index and probe keys of the lines given by byte bounds: key, line number, whether it indexes; and the lines' sizes and parities."""
     heads = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
     first, last = np.searchsorted(heads, start), np.searchsorted(heads, end)
     sizes = last - first
-    heads = np.append(heads, len(data))
+    line, rows = plans.of(sizes)
     marks = _parities(data, heads, first, last)
-    spans, lines, salts, leads = [], [], [], []
-    floor = min(short_chars, min_chars) if tau > 1 else min_chars
-    for n in np.unique(sizes[sizes >= floor]).tolist():
-        mine = np.flatnonzero(sizes == n)
-        if n not in plans:
-            # a line has keys for each distance that it can be matched by
-            tiers = ([(tau, 0)] if n >= min_chars else []) + ([(tau // 2, 32)] if n < min_chars + tau // 2 and floor < min_chars else [])
-            own, look = [], []
-            for t, salt in tiers:
-                for out, keys in zip((own, look), probes(n, t)):
-                    out += [(length, i + salt, s, size) for length, i, s, size in keys]
-            plans[n] = (np.array([x[2:] for x in own + look]), np.array([x[0] * 64 + x[1] for x in own + look]), np.arange(len(own + look)) < len(own))
-        place, salt, lead = plans[n]
-        a = first[mine][:, None] + place[:, 0][None, :]
-        spans.append(np.stack((heads[a], heads[a + place[:, 1][None, :]]), axis=-1).reshape(-1, 2))
-        lines.append(np.repeat(mine, len(salt)))
-        salts.append(np.tile(salt, len(mine)))
-        leads.append(np.tile(lead, len(mine)))
-    if not spans:
-        return np.zeros(0, A.U64), np.zeros(0, np.int64), np.zeros(0, bool), sizes, marks
-    spans = np.concatenate(spans)
-    h = A.span_hash(data.astype(A.U64) + A.U64(1), spans[:, 0], spans[:, 1], A.BYTE_BASE)
-    h = A.mix(h ^ A.mix(np.concatenate(salts).astype(A.U64)))
-    return h, np.concatenate(lines), np.concatenate(leads), sizes, marks
+    heads = np.append(heads, len(data))
+    at = first[line] + rows[:, 0]
+    h = spans.hash(heads[at], heads[at + rows[:, 1]])
+    h = A.mix(h ^ A.mix(rows[:, 2].astype(A.U64)))
+    return h, line, rows[:, 3].astype(bool), sizes, marks
 
 
 def _candidates(docs: DataFrame, tau: int, min_chars: int, short_chars: int, buckets: int) -> DataFrame:
     """Rows ``k, id, size, missed, score, lead`` of the keys that different lines share; ``missed`` holds the line's parities."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plans: dict = {}
+        plans = Plans(tau, min_chars, short_chars)
+        seen: set[int] = set()  # an equal line has equal keys, so only its first occurrence of late needs any
         held: list[tuple] = []
         total = 0
 
@@ -198,8 +233,18 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int, short_chars: int, buc
                 _, _, start, end = find_lines(data, bounds)
                 if not len(start):
                     continue
-                names = A.span_hash(data.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE).view(np.int64)
-                key, line, lead, sizes, marks = _keys_of(data, start, end, tau, min_chars, short_chars, plans)
+                spans = A.Spans(data.astype(A.U64) + A.U64(1), A.BYTE_BASE)
+                names = spans.hash(start, end).view(np.int64)
+                new, place = np.unique(names, return_index=True)
+                fresh = np.array([h not in seen for h in new.tolist()])
+                seen.update(new[fresh].tolist())
+                if len(seen) > SEEN:
+                    seen.clear()
+                of = np.sort(place[fresh])
+                if not len(of):
+                    continue
+                names = names[of]
+                key, line, lead, sizes, marks = _keys_of(data, spans, start[of], end[of], plans)
                 if len(key):
                     held.append((key, names[line], sizes[line], marks[line], lead))
                     total += len(key)
@@ -279,7 +324,7 @@ def line_dedup(docs: DataFrame, tau: int = 2, min_chars: int = 40, short_chars:
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [[x.decode() for x in batch.column(i).to_pylist()] for i in (2, 3)]
+            texts = [batch.column(i).cast(pa.string()).to_pylist() for i in (2, 3)]
             kept = batch.select([0, 1]).filter(pa.array([banded_distance(p, t, tau) <= (tau if min(len(p), len(t)) >= min_chars else tau // 2) for p, t in zip(*texts)], pa.bool_()))
             if kept.num_rows:
                 yield kept
