@@ -27,21 +27,3 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a table for broadcasting after measuring it; leave it to a shuffle otherwise."""
     return F.broadcast(df) if fits_broadcast(df, limit) else df
-
-
-def salted_join(left: DataFrame, right: DataFrame, on: str, salt: int) -> DataFrame:
-    """Inner equi-join where the left keys may be heavily skewed.
-
-    Every right row is repeated once per salt value and each left row joins
-    one of the copies, so a hot key is spread over ``salt`` tasks.
-    """
-    spread = left.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, t in left.dtypes if not t.startswith("map")]), F.lit(salt)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return spread.join(copies, [on, "_salt"]).drop("_salt")
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: str, small: bool, salt: int) -> DataFrame:
-    """Inner join with a dictionary: broadcast if it was measured small, else salted."""
-    if small:
-        return left.join(F.broadcast(right), on)
-    return salted_join(left, right, on, salt)
