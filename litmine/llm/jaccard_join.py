@@ -230,6 +230,10 @@ def _ordered_sets(docs: DataFrame, gram: int, percent: int, buckets: int) -> Dat
         size = np.zeros(len(owner), np.int64)
         size[place] = n
         element = np.repeat(place, length)
+        order = np.lexsort((-df.astype(np.int64), h, element))
+        h, df, element = h[order], df[order], element[order]
+        new = np.flatnonzero(np.concatenate(([True], (element[1:] != element[:-1]) | (h[1:] != h[:-1]))) if len(h) else np.zeros(0, bool))
+        h, df, element = h[new], df[new], element[new]  # the rows of a repeated document bring its elements again
         order = np.lexsort((h, df, element))
         h, cut = h[order], np.searchsorted(element[order], np.arange(len(owner) + 1))
         seen = np.diff(cut)

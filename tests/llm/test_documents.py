@@ -207,3 +207,10 @@ def test_empty_tables(none):
     assert mix_sources(none).collect() == [] and mixed_documents(none).collect() == []
 
 
+
+
+def test_repeated_rows_link_no_more_than_one(spark):
+    base, other = sentence(31, 40), sentence(32, 12)
+    half = " ".join(base.split()[:30]) + " " + other
+    docs = spark.createDataFrame([(1, base)] * 3 + [(2, half)] * 2 + [(3, half + " end")], "doc_id long, text string").repartition(3)
+    assert Counter((r["doc_id"], r["component_id"]) for r in jaccard_components(docs).collect()) == Counter({(1, 1): 3, (2, 2): 2, (3, 2): 1})
