@@ -13,8 +13,10 @@ fewer words the whole sequence is the only element; without words the set is emp
 2. Equal sets are one class, known by 64 bits of its elements' sums; copies need no bands of their own.
 3. Bands that another class has too are found in hash buckets whose number grows with the input. A band that repeats
    within a task is known there and reaches its bucket once, so a frequent band costs one entry a task.
-4. Classes that share a band are tried against a central member first (``components.cluster``), on whole sets that a second
-   scan makes of the documents concerned. Components come out exactly for the pairs that share a band.
+4. A second scan makes the whole sets of the documents that share a band. What of a set no other of them has can't be common to two, so a set
+   with too little left has no link, and many pairs are ruled out by what both have left.
+5. Classes that share a band are tried against a central member first (``components.cluster``), on whole sets. Components come out exactly
+   for the pairs that share a band.
 
 Null texts and texts without words have n_shingles 0 and are their own component. Repeated rows are kept, each with the same
 result. Rows with an id in common and different texts are documents of their own. A null id is never a
@@ -32,13 +34,14 @@ from pyspark.sql import functions as F
 
 from litmine.llm import arrays as A
 from litmine.llm.components import cluster
-from litmine.llm.jaccard_join import shingle_sets
+from litmine.llm.jaccard_join import _ordered_sets, _verifier, shingle_sets
 from litmine.llm.tables import bucket_count, id_or_last, id_or_null
 from litmine.operators.sizing import broadcast_if_small
 from litmine.session import written
 
 ROWS, GROUPS = 4, 30
 SLICE = 1 << 15  # elements whose values are held at a time
+SMALL = 16 << 20
 FLUSH = 1 << 12  # classes whose bands are compared within a task
 
 
@@ -167,46 +170,10 @@ def _shared_bands(signed: DataFrame, buckets: int) -> DataFrame:
     dealt = signed.where("n > 0").select("set", "n", "bands").mapInArrow(entries, ENTRIES).groupBy("bucket").applyInArrow(shared, ", ".join(f"{c} long" for c in result))
     once = written(dealt.groupBy("k", "id").agg(F.max("size").alias("size"), F.max("times").alias("times")), "bands")
     central = once.groupBy("id").agg((-F.sum("times")).alias("score"))  # the more others meet a class, the sooner it is tried against them
-    keyed = once.select("k", "id", "size").join(broadcast_if_small(central, 16 << 20), "id")
+    keyed = once.select("k", "id", "size").join(broadcast_if_small(central, SMALL), "id")
     return keyed.select("k", "id", "size", F.lit(0).cast("long").alias("missed"), "score", F.lit(True).alias("lead"))
 
 
-def _whole_sets(rows: DataFrame, chosen: DataFrame, gram: int) -> DataFrame:
-    """``id, n, hashes`` of the chosen documents ``(key, id)``."""
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, data, bounds in A.chunks(batch):
-                elements, sizes = shingle_sets(data, bounds, gram)
-                cut = np.concatenate(([0], np.cumsum(sizes)))
-                yield pa.RecordBatch.from_arrays([
-                    part.column(part.schema.get_field_index("id")), pa.array(sizes),
-                    pa.array([elements[a:e].tobytes() for a, e in zip(cut[:-1], cut[1:])], pa.binary()),
-                ], ["id", "n", "hashes"])
-
-    found = rows.select("key", "text").join(broadcast_if_small(chosen, 16 << 20), "key").select("id", "text").mapInArrow(scan, "id long, n long, hashes binary")
-    return found.groupBy("id").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))  # a row may be repeated
-
-
-def _confirmer(sets: DataFrame, percent: int):
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), A.U64), np.frombuffer(y.as_buffer(), A.U64)
-                both = np.sort(np.concatenate((x, y)))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            kept = batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-            if kept.num_rows:
-                yield kept
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        a, b = (sets.select(F.col("id").alias(s), F.col("hashes").alias(f"h{s}")) for s in "ab")
-        return pairs.join(b, "b").join(a, "a").select("a", "b", "ha", "hb").mapInArrow(linked, "a long, b long")
-
-    return confirm
-
-
 def minmax_components(docs: DataFrame, gram: int = 2, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` (the first of its component)."""
     rows = docs.select("text", id_or_last().alias("doc"), F.xxhash64(id_or_last(), "text").alias("key"))
@@ -215,12 +182,15 @@ def minmax_components(docs: DataFrame, gram: int = 2, percent: int = 80) -> Data
     first = signed.where("n > 0").groupBy("set").agg(F.min(F.struct("doc", "key")).alias("first"))
     classes = written(first.select(F.col("set").alias("id"), "first.doc", "first.key"), "classes")
     chosen = classes.join(keys.select("id").distinct(), "id", "left_semi").select("key", "id")
-    sets = written(_whole_sets(rows, chosen, gram), "sets")
+    texts = rows.select("key", "text").join(broadcast_if_small(chosen, SMALL), "key").select(F.col("id").alias("key"), "text")
+    sets = written(_ordered_sets(texts, gram, percent, bucket_count(docs)), "sets")
+    left = sets.select(F.col("key").alias("id"), F.col("unseen").alias("missed"))
+    keys = keys.drop("missed").join(broadcast_if_small(left, SMALL), "id").select("k", "id", "size", "missed", "score", "lead")
 
-    def near(n, _, m, __):
-        return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    def near(n, unseen, m, others):  # can what both have left be enough?
+        return F.least(n - unseen, m - others) * (100 + percent) >= (n + m) * percent
 
-    labels = cluster(keys, _confirmer(sets, percent), near)
+    labels = cluster(keys, _verifier(sets, percent), near)
     grouped = classes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = grouped.groupBy("label").agg(F.min("doc").alias("component"))
     named = written(grouped.join(least, "label").select(F.col("id").alias("set"), "component"), "components")
