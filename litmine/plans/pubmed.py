@@ -58,7 +58,7 @@ def load_articles(
 ) -> ArticleTables:
     """Read, parse once into a table, and derive everything from that table."""
     target = work_path or fresh_path(spark, "articles")
-    parsed = parse_records(read_article_records(spark, path, glob))
+    parsed = written(parse_records(read_article_records(spark, path, glob)), "parsed")
     articles_from_parsed(parsed).write.parquet(target)
     articles = spark.read.parquet(target)
     triples = written(triples_of(articles, vocab if vocab is None else written(vocab, "vocabulary")), "triples")

@@ -222,7 +222,7 @@ def load_statistics(spark, sf_dir):
     return facts.select("subject", "predicate", "object", "datatype")
 
 
-LOAD_STATISTICS = WITH + f""",
+LOAD_TOTALS = WITH + """,
 sizes AS (
   SELECT k, source_file,
     2 + 1 + 1 + 1 + 1 + 7 + CASE WHEN k % 6 = 0 THEN 2 ELSE 1 END + CASE WHEN issue = '' THEN 0 ELSE 3 END
@@ -232,7 +232,8 @@ sizes AS (
     + COALESCE((SELECT sum(CASE WHEN family IS NULL THEN 4 ELSE 6 END) FROM authors WHERE authors.k = material.k), 0) AS n
   FROM material
 ),
-totals AS (SELECT source_file, count(*) AS articles, CAST(sum(n) AS BIGINT) AS triples FROM sizes GROUP BY 1)
+totals AS (SELECT source_file, count(*) AS articles, CAST(sum(n) AS BIGINT) AS triples FROM sizes GROUP BY 1)"""
+LOAD_STATISTICS = LOAD_TOTALS + f"""
 SELECT source_file AS subject, '{T.ARTICLE_COUNT}' AS predicate, CAST(articles AS VARCHAR) AS object, '{T.XSD_INTEGER}' AS datatype FROM totals
 UNION ALL SELECT source_file, '{T.TRIPLE_COUNT}', CAST(triples AS VARCHAR), '{T.XSD_INTEGER}' FROM totals"""
 
