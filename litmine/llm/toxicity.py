@@ -91,8 +91,8 @@ class Neighbours:
         found = np.bincount(place, np.repeat(np.repeat(weights, len(blocks)), n) * self.w[at], minlength=len(known))
         return known[found > 0], np.round(found[found > 0], 12)
 
-    def nearest(self, vector: dict[int, float], leave: int = -1, ties: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Example numbers and cosines, best first and of equal ones the smaller number; with ``ties`` all that are as near as the k-th."""
+    def nearest(self, vector: dict[int, float], leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Example numbers and cosines, best first and of equal ones the smaller number."""
         pairs = [(self.terms[t], w) for t, w in vector.items() if t in self.terms]
         if not pairs:
             return np.zeros(0, np.int64), np.zeros(0)
@@ -111,15 +111,48 @@ class Neighbours:
                 worst = -np.partition(-cosines, self.k - 1)[self.k - 1]
                 ids, cosines = ids[cosines >= worst], cosines[cosines >= worst]
             at, step = at + step, step * 2
-        best = np.lexsort((ids, -cosines))[: None if ties else self.k]
+        best = np.lexsort((ids, -cosines))[: self.k]
         return ids[best], cosines[best]
 
-    def vote(self, vector: dict[int, float], leave: int = -1) -> tuple[float, np.ndarray]:
-        ids, cosines = self.nearest(vector, leave, ties=True)
-        if not len(ids):
-            return float(np.average(self.labels, weights=self.weights)), ids
-        power = self.weights[ids] / (1 - np.minimum(cosines, 1) + EPSILON)
-        return float((power * self.labels[ids]).sum() / power.sum()), ids
+    def _filled(self, cut: np.ndarray, terms: np.ndarray, weights: np.ndarray, row: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Cosines of every text with the examples of the blocks given for it, from the lists' parts in these; 0 elsewhere."""
+        texts, n = len(cut) - 1, np.diff(cut)[row]
+        entry = np.repeat(cut[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        part = terms[entry] * self.blocks + np.repeat(block, n)
+        a, m = self.cuts[part], self.cuts[part + 1] - self.cuts[part]
+        at = np.repeat(a - np.cumsum(m) + m, m) + np.arange(m.sum())
+        place = np.repeat(np.repeat(row, n) * self.size, m) + self.ids[at]
+        return np.bincount(place, np.repeat(weights[entry], m) * self.w[at], minlength=texts * self.size).reshape(texts, self.size)
+
+    def votes(self, cut: np.ndarray, terms: np.ndarray, weights: np.ndarray, leave: np.ndarray | None = None) -> tuple[np.ndarray, list[list[int]]]:
+        """The share of toxic votes and the three nearest examples of each text ``t`` with the terms ``cut[t]:cut[t + 1]`` (at least one each).
+
+        The blocks with the greatest bounds give a cosine that the k-th best reaches at least; then the blocks whose bound reaches that are looked at.
+        """
+        texts = len(cut) - 1
+        bound = np.add.reduceat(weights[:, None] * self.most[terms], cut[:-1])
+        first = np.argsort(-bound, axis=1, kind="stable")[:, : -(-(self.k + 1) // BLOCK) + 1]
+        rows = np.repeat(np.arange(texts), first.shape[1])
+        cosines = self._filled(cut, terms, weights, rows, first.ravel())
+        if leave is not None:
+            cosines[np.arange(texts), leave] = 0
+        k = min(self.k, self.size) - 1
+        worst = -np.partition(-cosines, k, axis=1)[:, k]
+        reach = (bound >= worst[:, None] - 1e-9) & (bound > 0)
+        reach[rows, first.ravel()] = False
+        cosines = np.round(cosines + self._filled(cut, terms, weights, *np.nonzero(reach)), 12)
+        if leave is not None:
+            cosines[np.arange(texts), leave] = 0
+        worst = -np.partition(-cosines, k, axis=1)[:, k]
+        near = (cosines >= worst[:, None]) & (cosines > 0)
+        power = np.where(near, self.weights / (1 - np.minimum(cosines, 1) + EPSILON), 0.0)
+        total = power.sum(axis=1)
+        share = np.where(total > 0, power @ self.labels / np.where(total > 0, total, 1), np.average(self.labels, weights=self.weights))
+        best = []
+        for t in range(texts):
+            ids = np.flatnonzero(near[t])
+            best.append(ids[np.argsort(-cosines[t, ids], kind="stable")[:3]].tolist())
+        return share, best
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[list[float], list[float]]:
@@ -149,28 +182,42 @@ class Model:
         self.search = None
         if len(examples) and 0 < labels.mean() < 1:
             weights = np.where(labels > 0, share / labels.mean(), (1 - share) / (1 - labels.mean()))
-            vectors = [self.vector(e[2], e[3]) for e in examples]
-            self.search = Neighbours(vectors, labels, weights, k)
-            raw = np.array([self.search.vote(v, i)[0] for i, v in enumerate(vectors)])
+            sizes = [len(e[2]) for e in examples]
+            row, term, times = np.repeat(np.arange(len(examples)), sizes), *(np.array([x for e in examples for x in e[i]], np.int64) for i in (2, 3))
+            cut, term, weight = self.vectors(len(examples), row, term, times)
+            self.search = Neighbours([dict(zip(term[a:e].tolist(), weight[a:e].tolist())) for a, e in zip(cut[:-1], cut[1:])], labels, weights, k)
+            raw = np.concatenate([r for r, _ in self.voted(cut, term, weight, np.arange(len(examples)))])
             self.curve = isotonic(np.round(raw, 9), labels, weights)
-        self.known: dict = {}
 
-    def vector(self, terms, times) -> dict[int, float]:
-        weights = {int(t): float((1 + np.log(n)) * self.weight[t]) for t, n in zip(terms, times)}
-        weights[-1] = COMMON
-        length = sum(w * w for w in weights.values()) ** 0.5
-        return {t: w / length for t, w in weights.items()}
-
-    def score(self, terms: tuple, times: tuple) -> tuple[float, list[int]]:
+    def vectors(self, texts: int, row: np.ndarray, term: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms and weights of vectors of length one, text after text; the common axis is the term after the last."""
+        row, term = np.concatenate((row, np.arange(texts))), np.concatenate((term, np.full(texts, len(self.vocabulary))))
+        weight = np.concatenate(((1 + np.log(times)) * self.weight[term[: len(times)]], np.full(texts, COMMON)))
+        order = np.lexsort((term, row))
+        row, term, weight = row[order], term[order], weight[order]
+        cut = np.searchsorted(row, np.arange(texts + 1))
+        return cut, term, weight / np.sqrt(np.add.reduceat(weight * weight, cut[:-1]))[row]
+
+    def voted(self, cut: np.ndarray, term: np.ndarray, weight: np.ndarray, leave: np.ndarray | None = None):
+        """Votes of some texts at a time: so many that neither their terms nor their cosines take much memory."""
+        known = np.array([t in self.search.terms for t in range(len(self.vocabulary) + 1)])[term]
+        place = np.zeros(len(self.vocabulary) + 1, np.int64)
+        place[list(self.search.terms)] = list(self.search.terms.values())
+        cut = np.concatenate(([0], np.cumsum(known)))[cut]
+        term, weight = place[term[known]], weight[known]
+        at = 0
+        while at < len(cut) - 1:
+            to = max(at + 1, min(int(np.searchsorted(cut, cut[at] + (1 << 14), "right")) - 1, at + 256))
+            of = slice(cut[at], cut[to])
+            yield self.search.votes(cut[at : to + 1] - cut[at], term[of], weight[of], None if leave is None else leave[at:to])
+            at = to
+
+    def scores(self, texts: int, row: np.ndarray, term: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, list[list]]:
         if self.search is None:
-            return self.share, []
-        key = (terms, times)
-        if key not in self.known:
-            if len(self.known) > 100_000:
-                self.known.clear()
-            raw, ids = self.search.vote(self.vector(terms, times))
-            self.known[key] = (float(np.interp(raw, *self.curve)), [self.ids[i] for i in ids[:3].tolist()])
-        return self.known[key]
+            return np.full(texts, self.share), [[] for _ in range(texts)]
+        found = list(self.voted(*self.vectors(texts, row, term, times)))
+        raw = np.concatenate([r for r, _ in found])
+        return np.interp(raw, *self.curve), [[self.ids[i] for i in ids] for _, best in found for ids in best]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k: int = 25) -> Model:
@@ -253,10 +300,9 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for part, data, bounds in A.chunks(batch):
                 row, term, times = counted(data, bounds, model.vocabulary)
-                cut = np.searchsorted(row, np.arange(part.num_rows + 1))
-                found = [model.score(tuple(term[a:e].tolist()), tuple(times[a:e].tolist())) for a, e in zip(cut[:-1], cut[1:])]
+                scores, evidence = model.scores(part.num_rows, row, term, times)
                 columns = [part.column(i) for i in range(part.num_columns)]
-                columns += [pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))]
+                columns += [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "score", "evidence"])
 
     return docs.mapInArrow(scan, schema)

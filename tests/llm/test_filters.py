@@ -12,7 +12,7 @@ from litmine.llm.queries import URL_RULES
 from litmine.llm.surrogates import dressed, entities, luhn, normal_form, redrawn, surrogate, with_surrogates
 from litmine.llm.template_decontamination import decontaminated, template_matches
 from litmine.llm.token_shards import feistel, read_shards, token_sequences, write_shards
-from litmine.llm.toxicity import Neighbours, fit_toxicity, isotonic, score_toxicity
+from litmine.llm.toxicity import EPSILON, Neighbours, fit_toxicity, isotonic, score_toxicity
 from litmine.session import fresh_path
 
 from tests.llm.fixtures import sentence
@@ -38,6 +38,27 @@ def test_nearest_examples_are_exact():
             assert [k for _, k in best] == ids.tolist() or len({c for c, _ in best}) < len(best)
 
 
+def test_votes_of_many_texts_are_those_of_each():
+    r = random.Random(4)
+    vectors = []
+    for _ in range(300):
+        v = {t: r.choice([0.5, 1.0, r.random()]) for t in {0, *r.sample(range(40), r.randrange(0, 6))}}
+        size = sum(x * x for x in v.values()) ** 0.5
+        vectors.append({t: x / size for t, x in v.items()})
+    labels, weights = np.array([k % 3 == 0 for k in range(300)], float), np.array([1 + k % 2 for k in range(300)], float)
+    search = Neighbours(vectors, labels, weights, 9)
+    cut = np.cumsum([0] + [len(v) for v in vectors])
+    terms, values = (np.array([x for v in vectors for x in f(v)]) for f in (lambda v: [search.terms[t] for t in v], dict.values))
+    for leave in (None, np.arange(300)):
+        shares, best = search.votes(cut, terms, values, leave)
+        for q, v in enumerate(vectors):
+            cosines = np.array([round(sum(w * x.get(t, 0) for t, w in v.items()), 12) if leave is None or k != q else 0 for k, x in enumerate(vectors)])
+            near = np.flatnonzero((cosines >= np.sort(cosines)[-9]) & (cosines > 0))
+            power = weights[near] / (1 - np.minimum(cosines[near], 1) + EPSILON)
+            assert abs(shares[q] - (power * labels[near]).sum() / power.sum()) < 1e-6
+            assert np.allclose(sorted(cosines[best[q]]), np.sort(cosines)[-3:])
+
+
 def test_isotonic_pools_what_falls():
     x, y = isotonic(np.array([0.0, 1, 2, 3]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert list(zip(x, y)) == [(0.0, 0.0), (1.0, 0.5), (2.0, 0.5), (3.0, 1.0)]
