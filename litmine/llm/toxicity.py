@@ -3,8 +3,9 @@
 Examples are a bounded sample of the labelled rows given: of each class the ``max_examples`` with the smallest
 hash of their id. Terms are runs of letters and digits in lower case, and the beginnings of ``STEMS`` code points of longer ones, so
 that inflected forms have a stem in common. A term counts by how far it tells the classes of the sample apart: its presence in toxic
-examples exceeds that in others by z standard errors, and its axis is stretched by what z has beyond ``MARGIN``. All such terms span
-the space; there is no limit to their number but the sample. A last axis, ``COMMON``, is the same for all texts: texts in which little speaks
+examples exceeds that in others by z standard errors, and its axis is stretched by what z has beyond ``MARGIN``. The terms of greatest z
+span the space, as far down as at most a share of ``CHANCE`` of them would be expected by chance (Benjamini and Hochberg), whatever
+the size of the sample; there is no limit to their number. A last axis, ``COMMON``, is the same for all texts: texts in which little speaks
 for a class are near to each other, and one chance term doesn't make a direction. Document frequencies are counted over all documents.
 Weights are (1 + log tf) * idf * stretch, vectors have length one.
 
@@ -21,6 +22,7 @@ Repeated rows score alike; of repeated labels of an id the greater holds, of rep
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,11 +35,12 @@ from litmine.session import written
 
 BLOCK, EPSILON = 64, 0.05
 STEMS = (4, 5, 6)
-MARGIN, LEAST_EXAMPLES, COMMON = 2.0, 3, 3.0
+MARGIN, LEAST_EXAMPLES, COMMON, CHANCE = 2.0, 3, 3.0, 0.25
+FILTER_BITS = 20
 
 
 def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text and hash of every word and of its beginnings, ordered by text."""
+    """Text and hash of every word, and then of the beginnings of longer ones."""
     data = A.lower_latin(data)
     words = A.find_words(data, bounds, A.LETTER[data] | A.DIGIT[data])
     heads = np.flatnonzero((data & 0xC0) != 0x80)  # where code points start
@@ -50,17 +53,24 @@ def terms_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
         end.append(heads[first[longer] + n])
         salt.append(np.full(len(longer), n))
     row, start, end, salt = (np.concatenate(x) for x in (row, start, end, salt))
-    h = A.span_hash(data.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE) + salt.astype(A.U64) * A.U64(A.WORD_BASE)
-    order = np.argsort(row, kind="stable")
-    return row[order], h[order]
+    return row, A.span_hash(data.astype(A.U64) + A.U64(1), start, end, A.BYTE_BASE) + salt.astype(A.U64) * A.U64(A.WORD_BASE)
 
 
-def counted(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray):
-    """Per (text, term of the sorted vocabulary) found: text, term and how often."""
+def filter_of(vocabulary: np.ndarray) -> np.ndarray:
+    """Which low bits of a hash occur in the vocabulary: most other terms end here."""
+    held = np.zeros(1 << FILTER_BITS, bool)
+    held[(vocabulary & A.U64((1 << FILTER_BITS) - 1)).astype(np.int64)] = True
+    return held
+
+
+def counted(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray, held: np.ndarray):
+    """Per (text, term of the sorted vocabulary) found: text, term and how often. ``held`` is the vocabulary's filter."""
     row, hashes = terms_of(data, bounds)
     if not len(vocabulary) or not len(hashes):
         none = np.zeros(0, np.int64)
         return none, none, none
+    some = held[(hashes & A.U64((1 << FILTER_BITS) - 1)).astype(np.int64)]
+    row, hashes = row[some], hashes[some]
     place = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
     hit = np.flatnonzero(vocabulary[place] == hashes)
     pairs, times = np.unique(row[hit] * len(vocabulary) + place[hit], return_counts=True)
@@ -220,7 +230,7 @@ class Model:
         return np.interp(raw, *self.curve), [[self.ids[i] for i in ids] for _, best in found for ids in best]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k: int = 25) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 1000, k: int = 25) -> Model:
     """Learn from ``labels (doc_id, toxic)`` of rows of ``docs (doc_id, text)``."""
     rows = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     rows = written(rows, "labels")
@@ -237,7 +247,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k
         for batch in batches:
             for part, data, bounds in A.chunks(batch):
                 row, hashes = terms_of(data, bounds)
-                cut = np.searchsorted(row, np.arange(part.num_rows + 1))
+                order = np.argsort(row, kind="stable")
+                hashes, cut = hashes[order], np.searchsorted(row[order], np.arange(part.num_rows + 1))
                 toxic = part.column(2).to_numpy()
                 for value in (0, 1):
                     h = [np.unique(hashes[cut[t] : cut[t + 1]]) for t in np.flatnonzero(toxic == value)]
@@ -256,15 +267,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k
         )
         rate = (F.col("p") + F.col("q")) / (pos + neg)
         z = (F.col("p") / pos - F.col("q") / neg) / F.sqrt(rate * (1 - rate) * (1 / pos + 1 / neg))
-        telling = found.where((F.col("p") + F.col("q") >= LEAST_EXAMPLES) & (rate < 1)).select("term", (z - MARGIN).alias("stretch")).where("stretch > 0")
-        telling = telling.toPandas().sort_values("term", key=lambda t: t.to_numpy().view(A.U64))  # bounded by the sample
-        vocabulary, stretch = telling["term"].to_numpy().view(A.U64), telling["stretch"].to_numpy()
+        tested = written(found.where((F.col("p") + F.col("q") >= LEAST_EXAMPLES) & (rate < 1)).select("term", z.alias("z")), "terms")
+        telling = tested.where(F.col("z") > MARGIN).toPandas()  # bounded by the sample
+        z = np.sort(telling["z"].to_numpy())[::-1]
+        chance = np.array([math.erfc(x / math.sqrt(2)) / 2 for x in z]) * tested.count()
+        number = int((np.flatnonzero(chance <= CHANCE * np.arange(1, len(z) + 1)) + 1).max(initial=0))
+        telling = telling[telling["z"] >= (z[number - 1] if number else np.inf)]
+        telling = telling.sort_values("term", key=lambda t: t.to_numpy().view(A.U64))
+        vocabulary, stretch = telling["term"].to_numpy().view(A.U64), telling["z"].to_numpy() - MARGIN
+    held = filter_of(vocabulary)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             for part, data, bounds in A.chunks(batch):
-                total += np.bincount(counted(data, bounds, vocabulary)[1], minlength=len(vocabulary))
+                total += np.bincount(counted(data, bounds, vocabulary, held)[1], minlength=len(vocabulary))
                 seen += part.num_rows
         yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(total)), -1)), pa.array(np.append(total, seen))], ["term", "n"])
 
@@ -276,7 +293,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in A.chunks(batch):
-                row, term, times = counted(data, bounds, vocabulary)
+                row, term, times = counted(data, bounds, vocabulary, held)
                 cut = np.searchsorted(row, np.arange(part.num_rows + 1))
                 lists = [[x[a:e].tolist() for a, e in zip(cut[:-1], cut[1:])] for x in (term, times)]
                 yield pa.RecordBatch.from_arrays(
@@ -285,21 +302,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_examples: int = 3000, k
 
     kind = dict(sample.dtypes)["doc_id"]
     examples = sample.select("doc_id", "text", "toxic").mapInArrow(vectors, f"doc_id {kind}, toxic int, terms array<bigint>, times array<bigint>")
-    held = sorted((r["terms"], r["times"], r["doc_id"], r["toxic"]) for r in examples.collect())  # like examples side by side
-    return Model(vocabulary, weight, [(d, y, t, n) for t, n, d, y in held], share, k)
+    rows = sorted((r["terms"], r["times"], r["doc_id"], r["toxic"]) for r in examples.collect())  # like examples side by side
+    return Model(vocabulary, weight, [(d, y, t, n) for t, n, d, y in rows], share, k)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` and ``evidence`` (ids of the nearest examples); columns of these names are replaced."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("score", "evidence")
     schema = docs.withColumns({"score": F.lit(0.0), "evidence": F.lit(None).cast("array<bigint>")}).schema
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model = shared.value
+        held = filter_of(model.vocabulary)
         for batch in batches:
             for part, data, bounds in A.chunks(batch):
-                row, term, times = counted(data, bounds, model.vocabulary)
+                row, term, times = counted(data, bounds, model.vocabulary, held)
                 scores, evidence = model.scores(part.num_rows, row, term, times)
                 columns = [part.column(i) for i in range(part.num_columns)]
                 columns += [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))]
