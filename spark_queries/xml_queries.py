@@ -8,6 +8,7 @@ from litmine.functions import article_iri, date_lexical, date_xsd_type, normaliz
 from litmine.functions import terms as T
 from litmine.operators.articles import date_rejects
 from litmine.operators.chains import author_lists, journal_chain
+from litmine.operators.isomorphism import graph_mismatch
 from litmine.operators.edges import count_articles_per_term, edges_from_triples
 from litmine.operators.profile import field_counts, sum_field_counts
 from litmine.operators.stats import load_stats, stats_triples
@@ -281,6 +282,25 @@ def ntriples_round_trip(spark, sf_dir):
 NTRIPLES_ROUND_TRIP = "SELECT CAST(0 AS BIGINT) AS n_different"
 
 
+def graph_isomorphism(spark, sf_dir):
+    """The graph against itself with other blank names, read back from lines, and against one with a single link turned."""
+    triples = written(article_triples(order_articles(spark, sf_dir)), "graph")
+    renamed = parse_ntriples(ntriples_lines(triples))
+    for end in ("subject", "object"):
+        other = F.concat(F.lit("_:r"), F.md5(F.concat(F.lit("other"), F.reverse(end))))
+        renamed = renamed.withColumn(end, F.when(F.col(f"{end}_kind") == "blank", other).otherwise(F.col(end)))
+    renamed = written(renamed, "renamed")
+    least = renamed.where(F.col("predicate") == T.PART_OF).agg(F.min("subject").alias("_least"))
+    chosen = (F.col("predicate") == T.PART_OF) & (F.col("subject") == least.scalar())
+    turned = renamed.withColumn("predicate", F.when(chosen, T.DCT_REFERENCES).otherwise(F.col("predicate")))
+    same, other = graph_mismatch(triples, renamed), graph_mismatch(triples, turned)
+    counts = triples.groupBy("source_file").agg(F.count("*").alias("n_statements"))
+    return counts.select("source_file", "n_statements", F.lit(same.isEmpty()).alias("equal_renamed"), F.lit(other.isEmpty()).alias("equal_turned"))
+
+
+GRAPH_ISOMORPHISM = LOAD_TOTALS + "\nSELECT source_file, triples AS n_statements, true AS equal_renamed, false AS equal_turned FROM totals"
+
+
 def _chunks(spark, sf_dir):
     records = order_records(spark, sf_dir)
     return records.select("source_file", F.replace(F.col("raw"), F.lit(CLOSING_TAG), F.lit("")).alias("chunk"))
@@ -363,6 +383,7 @@ QUERIES = {
     "annotated_references": (annotated_references, ANNOTATED_REFERENCES),
     "edges_per_mesh_term": (edges_per_mesh_term, EDGES_PER_MESH_TERM),
     "ntriples_export": (ntriples_export, NTRIPLES_EXPORT),
+    "graph_isomorphism": (graph_isomorphism, GRAPH_ISOMORPHISM),
     "ntriples_round_trip": (ntriples_round_trip, NTRIPLES_ROUND_TRIP),
     "field_summary": (field_summary, FIELD_SUMMARY),
     "sum_outputs": (sum_outputs, SUM_OUTPUTS),
