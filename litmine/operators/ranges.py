@@ -40,6 +40,23 @@ def _running_before(keyed: DataFrame, key: str, value: str, out: str, largest: i
     return up(keyed.withColumn("_k", F.col(key)), largest, value).drop("_k")
 
 
+def _total_before(keyed: DataFrame, key: str, values: list[str], largest: int) -> DataFrame:
+    """Add ``<value>_before``, the sum of each value over all smaller keys, by the same buckets."""
+    def up(df: DataFrame, top: int) -> DataFrame:
+        bucket = F.shiftright(F.col("_k"), BUCKET_BITS).alias("_b")
+        before = Window.partitionBy("_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+        zero = F.lit(0).cast("long")
+        local = df.select("*", bucket).withColumns({f"{v}_before": F.coalesce(F.sum(v).over(before), zero) for v in values})
+        if top >> BUCKET_BITS == 0:
+            return local.drop("_b")
+        totals = df.groupBy(bucket.alias("_k")).agg(*[F.sum(v).alias(v) for v in values])
+        carry = up(totals, top >> BUCKET_BITS).select(F.col("_k").alias("_b"), *[F.col(f"{v}_before").alias(f"_{v}") for v in values])
+        added = local.join(carry, "_b").withColumns({f"{v}_before": F.col(f"{v}_before") + F.col(f"_{v}") for v in values})
+        return added.drop("_b", *[f"_{v}" for v in values])
+
+    return up(keyed.withColumn("_k", F.col(key)), largest).drop("_k")
+
+
 def _next_key(keyed: DataFrame, key: str, out: str, largest: int) -> DataFrame:
     """Add the next larger key (NULL for the last); as above, from the other end."""
     mirrored = keyed.withColumn("_mirror", F.lit(largest).cast("long") - F.col(key)).withColumn("_negative", -F.col(key))
@@ -121,6 +138,26 @@ def range_overlaps(ranges: DataFrame) -> DataFrame:
     return later.unionByName(mirrored).unionByName(same)
 
 
+def range_overlap_counts(ranges: DataFrame) -> DataFrame:
+    """``(from_row, until_row, n_overlaps)``: with how many other distinct, non-empty ranges each one shares a row.
+
+    Those that start before its end, without those that end at or before its start and without itself. Both are sums over the
+    distinct bounds, so a million ranges inside each other cost a million rows, and no pair is made.
+    """
+    distinct = written(
+        ranges.select(F.col("from_row").cast("long"), F.col("until_row").cast("long")).where("from_row < until_row").distinct(), "ranges")
+    bounds = distinct.select(F.inline(F.array(
+        F.struct(F.col("from_row").alias("at"), F.lit(1).cast("long").alias("starts"), F.lit(0).cast("long").alias("ends")),
+        F.struct(F.col("until_row").alias("at"), F.lit(0).cast("long").alias("starts"), F.lit(1).cast("long").alias("ends")),
+    ))).groupBy("at").agg(F.sum("starts").alias("starts"), F.sum("ends").alias("ends"))
+    keyed = written(bounds, "bounds")
+    placed = written(_total_before(keyed, "at", ["starts", "ends"], _largest(keyed, "at")), "placed")
+    started = placed.select(F.col("at").alias("until_row"), F.col("starts_before").alias("_started"))
+    ended = placed.select(F.col("at").alias("from_row"), (F.col("ends_before") + F.col("ends")).alias("_ended"))
+    counted = distinct.join(started, "until_row").join(ended, "from_row")
+    return counted.select("from_row", "until_row", (F.col("_started") - F.col("_ended") - 1).alias("n_overlaps"))
+
+
 def bisect_ranges(ranges: DataFrame, job_size: int) -> DataFrame:
     """Halve each range until no piece is longer than ``job_size``.
 

@@ -8,21 +8,33 @@ from pyspark.sql import functions as F
 from litmine.session import fresh_path, written
 
 
+def _starts(sizes: DataFrame) -> DataFrame:
+    """``sizes (_file, _block, _first, _n)`` with ``_start``, the rows of all splits before, in two levels.
+
+    Splits are dealt out by ranges and summed within each; what is added up over the ranges is one number per range.
+    """
+    keys = ["_file", "_block"]
+    dealt = sizes.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    placed = written(dealt.withColumn("_range", F.shiftright("_at", 33)), "splits")
+    totals = placed.groupBy("_range").agg(F.sum("_n").alias("_n")).agg(F.collect_list(F.struct("_range", "_n")).alias("_totals"))
+    earlier = F.filter("_totals", lambda t: t["_range"] < F.col("_range"))
+    carry = F.aggregate(earlier, F.lit(0).cast("long"), lambda n, t: n + t["_n"])
+    before = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_inside", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_totals", totals.scalar())
+    return local.select("_file", "_block", "_first", (F.col("_inside") + carry).alias("_start"))
+
+
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     """Number the rows of a file scan from 0, in file order.
 
-    Each file split is counted where it is read; what is added up afterwards
-    is one row per split, and the splits' first numbers are joined back. The
-    frame must come straight from a file scan (filters and projections may
-    follow the scan, shuffles may not).
+    The scan is stored once, each row with its split and place; splits are counted from that copy, and their first numbers
+    are joined back. The frame must come straight from a file scan (filters and projections may follow the scan, shuffles may not).
     """
     split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
-    tagged = df.select("*", *split, F.monotonically_increasing_id().alias("_local"))
+    tagged = written(df.select("*", *split, F.monotonically_increasing_id().alias("_local")), "tagged")
     sizes = tagged.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_local").alias("_first"))
-    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     # Written first, so that its true size decides how it is joined.
-    numbered = tagged.join(written(starts, "splits"), ["_file", "_block"])
+    numbered = tagged.join(written(_starts(sizes), "starts"), ["_file", "_block"])
     return numbered.select(
         *[F.col(c) for c in df.columns], (F.col("_start") + F.col("_local") - F.col("_first")).alias(name)
     )

@@ -44,12 +44,40 @@ ARTICLE_SCHEMA = (
     "_corrupt_record string"
 )
 
-# The markup allowed inside titles and abstracts. Removing the
-# tags from the raw record leaves exactly the text; an escaped tag
-# (``&lt;i&gt;``) is text and is not touched. Lists of references nest to any depth;
-# without their tags all references lie directly in the record's data.
+# Lists of references nest to any depth; without their tags all references lie directly in the record's data.
 GROUPING = r"</?ReferenceList(?:\s[^<>]*)?/?>"
+# Markup in other texts, such as names and journal titles. An escaped tag (``&lt;i&gt;``) is text and is not touched.
 INLINE_MARKUP = r"</?(?:b|i|u|sub|sup|DispFormula|mml:[A-Za-z]+)(?:\s[^<>]*)?/?>|<!--(?s:.*?)-->"
+# Elements whose text is everything below them, whatever the tags.
+DEEP_TEXT = ("ArticleTitle", "AbstractText")
+_NAMES = "|".join(DEEP_TEXT)
+_ATTRIBUTES = r"""(?:\s(?:[^<>"']|"[^"]*"|'[^']*')*+(?<!/))?"""
+DEEP_OPEN = rf"<(?:{_NAMES}){_ATTRIBUTES}>"
+DEEP_PIECES = rf"(?s){DEEP_OPEN}.*?</(?:{_NAMES})\s*>|.+?(?={DEEP_OPEN}|\z)"
+CDATA_PIECES = r"(?s)<!\[CDATA\[.*?\]\]>|.+?(?=<!\[CDATA\[|\z)"
+ANY_TAG = r"""<!--(?s:.*?)-->|<[/?]?[A-Za-z_](?:[^<>"']|"[^"]*"|'[^']*')*+>"""
+
+
+def _without_tags(content: Column) -> Column:
+    """The text of an element's content, still escaped: tags and comments go, CDATA sections become escaped text."""
+    def plain(piece: Column) -> Column:
+        inner = F.substring(piece, F.lit(10), F.length(piece) - 12)
+        for char, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            inner = F.replace(inner, F.lit(char), F.lit(escaped))
+        return F.when(piece.startswith("<![CDATA["), inner).otherwise(F.regexp_replace(piece, ANY_TAG, ""))
+
+    return F.array_join(F.transform(F.regexp_extract_all(content, F.lit(CDATA_PIECES), F.lit(0)), plain), "")
+
+
+def with_deep_text(raw: Column) -> Column:
+    """The record with plain, escaped text in the elements of :data:`DEEP_TEXT`, and without inline markup elsewhere."""
+    def cleaned(piece: Column) -> Column:
+        opening, closing = F.regexp_extract(piece, rf"\A{DEEP_OPEN}", 0), F.regexp_extract(piece, r"</[A-Za-z]+\s*>\z", 0)
+        content = F.substring(piece, F.length(opening) + 1, F.length(piece) - F.length(opening) - F.length(closing))
+        return F.when(opening != "", F.concat(opening, _without_tags(content), closing)).otherwise(
+            F.regexp_replace(piece, f"{GROUPING}|{INLINE_MARKUP}", ""))
+
+    return F.array_join(F.transform(F.regexp_extract_all(raw, F.lit(DEEP_PIECES), F.lit(0)), cleaned), "")
 
 
 def read_chunks(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
@@ -85,7 +113,7 @@ def read_article_records(spark: SparkSession, path: str | list[str], glob: str |
 def parse_record(raw: Column) -> Column:
     """The record as a struct of :data:`ARTICLE_SCHEMA`; whitespace is kept."""
     return F.from_xml(
-        F.regexp_replace(raw, f"{GROUPING}|{INLINE_MARKUP}", ""),
+        with_deep_text(raw),
         ARTICLE_SCHEMA,
         {"rowTag": RECORD_TAG, "attributePrefix": "_", "valueTag": "_VALUE", "ignoreSurroundingSpaces": "false"},
     )

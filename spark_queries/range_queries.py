@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from litmine.operators.ranges import bisect_ranges, islands, job_summary, range_gaps, range_overlaps
+from litmine.operators.ranges import bisect_ranges, islands, job_summary, range_gaps, range_overlap_counts, range_overlaps
 from litmine.sources.ranges import parse_result_names
 from spark_queries.tables import table
 
@@ -119,7 +119,17 @@ def job_totals(spark, sf_dir):
 JOB_TOTALS = "WITH RECURSIVE " + BISECT.strip() + """
 SELECT count(*) AS n_jobs, CAST(sum(e - s) AS BIGINT) AS n_rows, CAST(max(e - s) AS BIGINT) AS largest FROM jobs WHERE e - s <= 100"""
 
+def overlap_counts(spark, sf_dir):
+    return range_overlap_counts(_spans(spark, sf_dir))
+
+
+OVERLAP_COUNTS = "WITH " + SPANS.strip() + """,
+apart AS (SELECT DISTINCT from_row, until_row FROM spans WHERE from_row < until_row)
+SELECT a.from_row, a.until_row, count(b.from_row) AS n_overlaps FROM apart AS a LEFT JOIN apart AS b
+  ON a.from_row < b.until_row AND b.from_row < a.until_row AND (a.from_row <> b.from_row OR a.until_row <> b.until_row) GROUP BY 1, 2"""
+
 QUERIES = {
+    "range_overlap_counts": (overlap_counts, OVERLAP_COUNTS),
     "completed_ranges": (completed_ranges, COMPLETED_RANGES),
     "range_gaps": (gaps, GAPS),
     "range_gaps_nested": (nested_gaps, NESTED_GAPS),

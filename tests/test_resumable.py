@@ -47,3 +47,16 @@ def test_files_are_as_many_as_the_rows_need(spark, tmp_path):
     assert len(list((tmp_path / "t").rglob("*.parquet"))) == 4 and spark.read.parquet(str(tmp_path / "t")).count() == 4000
     pieces = clustered(rows.withColumnRenamed("source_file", "source"), rows_per_file=500)
     assert pieces.select("source", F.spark_partition_id()).distinct().count() <= 6 + 3 and pieces.count() == 4000
+
+
+def test_deep_text_of_long_and_odd_records(spark):
+    from litmine.sources.articles_xml import with_deep_text
+
+    cases = {
+        "<r><ArticleTitle>" + "a<em>b</em>&lt;" * 30000 + "</ArticleTitle>" + "<x>y</x>" * 30000 + "</r>": "<r><ArticleTitle>" + "ab&lt;" * 30000 + "</ArticleTitle>" + "<x>y</x>" * 30000 + "</r>",
+        "<r><ArticleTitle/><AbstractText A='>'>x<![CDATA[" + "<&" * 20000 + "]]>y<![CDATA[]]></AbstractText></r>": "<r><ArticleTitle/><AbstractText A='>'>x" + "&lt;&amp;" * 20000 + "y</AbstractText></r>",
+        "<r><ArticleTitle>never closed <b>x</b></r>": "<r><ArticleTitle>never closed x</r>", "": "", "no tags <5 & more": "no tags <5 & more",
+        "<r>" + "&" * 300000 + "</r>": "<r>" + "&" * 300000 + "</r>", "<ArticleTitles><q>k</q></ArticleTitles>": "<ArticleTitles><q>k</q></ArticleTitles>",
+    }
+    got = spark.createDataFrame(list(enumerate(cases)), "k int, raw string").select("k", with_deep_text(F.col("raw")).alias("t")).collect()
+    assert {r.k: r.t for r in got} == dict(enumerate(cases.values()))
