@@ -31,7 +31,7 @@ from litmine.llm.components import cluster
 from litmine.llm.tables import NO_ID, bucket_count, id_or_last, id_or_null, packed_texts, unpacked
 from litmine.session import written
 
-FLUSH, SEEN = 1 << 18, 1 << 20
+FLUSH, SEEN, KEYED_BYTES = 1 << 17, 1 << 18, 1 << 18
 EXCHANGE = "bucket int, lines binary, sizes binary, marks binary, k binary, line binary"
 
 
@@ -229,7 +229,7 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int, short_chars: int, buc
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], ["bucket", "lines", "sizes", "marks", "k", "line"])
 
         for batch in batches:
-            for _, data, bounds in A.chunks(batch):
+            for _, data, bounds in A.chunks(batch, limit=KEYED_BYTES):
                 _, _, start, end = find_lines(data, bounds)
                 if not len(start):
                     continue
