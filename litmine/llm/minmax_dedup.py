@@ -15,8 +15,10 @@ fewer words the whole sequence is the only element; without words the set is emp
    within a task is known there and reaches its bucket once, so a frequent band costs one entry a task.
 4. A second scan makes the whole sets of the documents that share a band. What of a set no other of them has can't be common to two, so a set
    with too little left has no link, and many pairs are ruled out by what both have left.
-5. Classes that share a band are tried against a central member first (``components.cluster``), on whole sets. Components come out exactly
-   for the pairs that share a band.
+5. Classes that share a band are tried against a central member first, on whole sets, and only pairs whose ends are in different components
+   go on. Two sets that were compared with the same central one are known by what they lack of it and have beyond it; a sketch of
+   ``SKETCH`` x 64 bits of that bounds what they can have in common, and a pair for which it is too little is ruled out unseen.
+   So a large group of copies, each with changes of its own, is not paired with itself. Components come out exactly for the pairs that share a band.
 
 Null texts and texts without words have n_shingles 0 and are their own component. Repeated rows are kept, each with the same
 result. Rows with an id in common and different texts are documents of their own. A null id is never a
@@ -33,13 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from litmine.llm import arrays as A
-from litmine.llm.components import cluster
-from litmine.llm.jaccard_join import _ordered_sets, _verifier, shingle_sets
+from litmine.llm.components import connected
+from litmine.llm.jaccard_join import _ordered_sets, shingle_sets
 from litmine.llm.tables import bucket_count, id_or_last, id_or_null
 from litmine.operators.sizing import broadcast_if_small
 from litmine.session import written
 
-ROWS, GROUPS = 4, 30
+ROWS, GROUPS, SKETCH = 4, 30, 8
 SLICE = 1 << 15  # elements whose values are held at a time
 SMALL = 16 << 20
 FLUSH = 1 << 12  # classes whose bands are compared within a task
@@ -103,7 +105,7 @@ ENTRIES = "bucket int, known boolean, sets binary, sizes binary, bands binary, h
 
 
 def _shared_bands(signed: DataFrame, buckets: int) -> DataFrame:
-    """``k, id, size, missed, score, lead`` of every class and every band of it that another class has."""
+    """``k, id, score`` of every class and every band of it that another class has."""
     names = ["bucket", "known", "sets", "sizes", "bands", "holders", "times"]
     types = [pa.int32(), pa.bool_()] + [pa.binary()] * 5
 
@@ -170,8 +172,80 @@ def _shared_bands(signed: DataFrame, buckets: int) -> DataFrame:
     dealt = signed.where("n > 0").select("set", "n", "bands").mapInArrow(entries, ENTRIES).groupBy("bucket").applyInArrow(shared, ", ".join(f"{c} long" for c in result))
     once = written(dealt.groupBy("k", "id").agg(F.max("size").alias("size"), F.max("times").alias("times")), "bands")
     central = once.groupBy("id").agg((-F.sum("times")).alias("score"))  # the more others meet a class, the sooner it is tried against them
-    keyed = once.select("k", "id", "size").join(broadcast_if_small(central, SMALL), "id")
-    return keyed.select("k", "id", "size", F.lit(0).cast("long").alias("missed"), "score", F.lit(True).alias("lead"))
+    return once.select("k", "id").join(broadcast_if_small(central, SMALL), "id")
+
+
+def sketch_of(differences: np.ndarray) -> list[int]:
+    """``SKETCH`` words of 64 bits, one bit set for each hash."""
+    bit = (A.mix(differences + A.U64(3)) >> A.U64(32)).astype(np.int64) % (64 * SKETCH)
+    held = np.zeros(64 * SKETCH, np.uint8)
+    held[bit] = 1
+    return np.packbits(held).view(np.int64).tolist()
+
+
+COMPARED = "a long, b long, na long, nb long, common long, left_b long, " + ", ".join(f"d{i} long" for i in range(SKETCH))
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs (a, b)`` with the sizes of both sets, how much they have in common, and a sketch of what only one of them has.
+
+    Elements that no other candidate has are in no set here, so they are in no difference that two could share.
+    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            common, left, sketches = [], [], []
+            for x, y in zip(*([np.frombuffer(v.as_buffer(), A.U64) for v in batch.column(i)] for i in (4, 5))):
+                both = np.sort(np.concatenate((x, y)))
+                twice = np.concatenate((both[1:] == both[:-1], [False])) if len(both) else np.zeros(0, bool)
+                once = ~(twice | np.concatenate(([False], twice[:-1]))) if len(both) else twice
+                common.append(int(twice.sum()))
+                left.append(len(y))
+                sketches.append(sketch_of(both[once]))
+            columns = [pa.array(c, pa.int64()) for c in (common, left, *zip(*sketches))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *columns], [c.split()[0] for c in COMPARED.split(", ")])
+
+    at = {s: sets.select(F.col("key").alias(s), F.col("n").alias(f"n{s}"), F.col("hashes").alias(f"h{s}")) for s in "ab"}
+    return pairs.join(at["b"], "b").join(at["a"], "a").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(compare, COMPARED)
+
+
+def _clusters(keys: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components ``id, label`` of the classes that have a link, among ``keys (k, id, n, left, score)``; ``left`` elements of ``n`` occur in others."""
+    def enough(common, n, m):
+        return common * (100 + percent) >= (n + m) * percent
+
+    linked = enough(F.col("common"), F.col("na"), F.col("nb"))
+    shared = keys.groupBy("k").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("score", "id", "n", "left")).alias("p")).where("members > 1")
+    pivots = written(shared.select("k", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.left").alias("pivot_left")), "pivots")
+    members = written(keys.join(pivots, "k"), "members")
+    star = members.where((F.col("id") != F.col("pivot")) & enough(F.least("left", "pivot_left"), F.col("n"), F.col("pivot_n")))
+    star = written(star.groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("times")), "star")
+    first = star.groupBy("id").agg(F.max(F.struct("times", "pivot")).alias("p")).select(F.col("id").alias("a"), F.col("p.pivot").alias("b"))
+    known = written(_compared(written(first, "tried"), sets), "compared")
+    links = known.where(linked).select("a", "b")
+    labels = connected(links)
+
+    center = known.select(F.col("a").alias("id"), F.col("b").alias("center"), F.col("left_b").alias("center_left"), "common", *[f"d{i}" for i in range(SKETCH)])
+    itself = known.select(F.col("b").alias("id"), F.col("b").alias("center"), F.col("left_b").alias("center_left"), F.col("left_b").alias("common"), *[F.lit(0).cast("long").alias(f"d{i}") for i in range(SKETCH)])
+    seen = center.unionByName(itself.join(center.select("id"), "id", "left_anti").distinct())  # a pivot that was compared with another stays with that
+    marked = members.select("k", "id", "n", "left").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    open_keys = marked.groupBy("k").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("k")
+    rest = written(marked.join(open_keys, "k", "left_semi").join(seen, "id", "left"), "open")
+
+    def side(s: str) -> DataFrame:
+        return rest.select("k", *[F.col(c).alias(f"{s}_{c}") for c in rest.columns if c != "k"])
+
+    x, y = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
+    lacking = lambda s: s("center_left") - s("common")
+    beyond = lambda s: s("left") - s("common")
+    # what of one's differences falls where the other has none can't be shared
+    unshared = lambda s, t: sum(F.bit_count(s(f"d{i}").bitwiseAND(F.bitwise_not(t(f"d{i}")))) for i in range(SKETCH))
+    alike = F.least(*[lacking(s) + beyond(s) - unshared(s, t) for s, t in ((x, y), (y, x))])
+    most = F.when(x("center") == y("center"), F.least(x("center_left") - lacking(x) - lacking(y) + alike, x("left"), y("left"))).otherwise(F.least(x("left"), y("left")))
+    pairs = side("x").join(side("y"), "k").where((x("id") < y("id")) & (x("label") != y("label")) & enough(most, x("n"), y("n")))
+    third = written(pairs.select(x("id").alias("a"), y("id").alias("b")).distinct(), "tried")
+    if third.isEmpty():
+        return labels
+    return connected(links.unionByName(written(_compared(third, sets), "compared").where(linked).select("a", "b")))
 
 
 def minmax_components(docs: DataFrame, gram: int = 2, percent: int = 80) -> DataFrame:
@@ -184,13 +258,9 @@ def minmax_components(docs: DataFrame, gram: int = 2, percent: int = 80) -> Data
     chosen = classes.join(keys.select("id").distinct(), "id", "left_semi").select("key", "id")
     texts = rows.select("key", "text").join(broadcast_if_small(chosen, SMALL), "key").select(F.col("id").alias("key"), "text")
     sets = written(_ordered_sets(texts, gram, percent, bucket_count(docs)), "sets")
-    left = sets.select(F.col("key").alias("id"), F.col("unseen").alias("missed"))
-    keys = keys.drop("missed").join(broadcast_if_small(left, SMALL), "id").select("k", "id", "size", "missed", "score", "lead")
-
-    def near(n, unseen, m, others):  # can what both have left be enough?
-        return F.least(n - unseen, m - others) * (100 + percent) >= (n + m) * percent
-
-    labels = cluster(keys, _verifier(sets, percent), near)
+    left = sets.select(F.col("key").alias("id"), "n", (F.col("n") - F.col("unseen")).alias("left"))
+    keys = written(keys.select("k", "id", "score").join(broadcast_if_small(left, SMALL), "id"), "candidates")
+    labels = _clusters(keys, sets, percent)
     grouped = classes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = grouped.groupBy("label").agg(F.min("doc").alias("component"))
     named = written(grouped.join(least, "label").select(F.col("id").alias("set"), "component"), "components")

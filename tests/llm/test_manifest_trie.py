@@ -135,6 +135,22 @@ def test_minmax_components_of_families_and_chains(spark):
     assert got == brute_components(texts, 2, 80) and 12 < sum(n for (*_, kept), n in got.items() if kept) < 144
 
 
+def test_minmax_components_of_copies_with_changes_of_their_own(spark):
+    r = random.Random(8)
+    texts = []
+    for family in range(3):
+        base = [f"w{r.randrange(60)}" for _ in range(140)]
+        for _ in range(90):
+            words = list(base)
+            for _ in range(r.randrange(0, 16)):
+                at = r.randrange(len(words))
+                words[at : at + 1] = r.choice([[f"w{r.randrange(60)}"], [], [words[at], "more"], [f"v{r.randrange(10**6)}"]])
+            texts.append((len(texts), " ".join(words)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    got = Counter(map(tuple, minmax_components(docs).collect()))
+    assert got == brute_components(texts, 2, 80) and 10 < sum(n for (*_, kept), n in got.items() if kept)
+
+
 def test_minmax_of_no_rows_and_empty_texts(spark, none):
     assert minmax_components(none).collect() == []
     blank = spark.createDataFrame([(1, None), (2, ""), (2, ""), (None, " ")], "doc_id long, text string")
