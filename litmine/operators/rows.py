@@ -8,20 +8,24 @@ from pyspark.sql import functions as F
 from litmine.session import fresh_path, written
 
 
-def _starts(sizes: DataFrame) -> DataFrame:
-    """``sizes (_file, _block, _first, _n)`` with ``_start``, the rows of all splits before, in two levels.
+def split_sums(sizes: DataFrame, value: str = "_n", within: list[str] | None = None, largest: bool = False) -> DataFrame:
+    """``sizes (_file, _block, ...)`` with ``_start``: the sum (or the largest) of ``value`` over all splits before, or those of the same ``within``.
 
-    Splits are dealt out by ranges and summed within each; what is added up over the ranges is one number per range.
+    In two levels: splits are dealt out by ranges and summed within each; what is added up over the ranges is one
+    number per range and group that lies in it.
     """
-    keys = ["_file", "_block"]
+    keys, group = ["_file", "_block"], within or []
     dealt = sizes.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
     placed = written(dealt.withColumn("_range", F.shiftright("_at", 33)), "splits")
-    totals = placed.groupBy("_range").agg(F.sum("_n").alias("_n")).agg(F.collect_list(F.struct("_range", "_n")).alias("_totals"))
-    earlier = F.filter("_totals", lambda t: t["_range"] < F.col("_range"))
-    carry = F.aggregate(earlier, F.lit(0).cast("long"), lambda n, t: n + t["_n"])
-    before = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumn("_inside", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_totals", totals.scalar())
-    return local.select("_file", "_block", "_first", (F.col("_inside") + carry).alias("_start"))
+    add = F.max if largest else F.sum
+    totals = placed.groupBy(*group, "_range").agg(add(value).alias("_total"))
+    earlier = Window.partitionBy(*group, *([] if group else [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*group, "_range", add("_total").over(earlier).alias("_carry"))
+    before = Window.partitionBy(*group, "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_inside", add(value).over(before)).join(carry, [*group, "_range"])
+    zero = F.lit(None if largest else 0).cast("long")
+    start = F.greatest("_inside", "_carry") if largest else F.coalesce("_inside", zero) + F.coalesce("_carry", zero)
+    return local.withColumn("_start", start).drop("_at", "_range", "_inside", "_carry")
 
 
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
@@ -34,7 +38,7 @@ def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     tagged = written(df.select("*", *split, F.monotonically_increasing_id().alias("_local")), "tagged")
     sizes = tagged.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_local").alias("_first"))
     # Written first, so that its true size decides how it is joined.
-    numbered = tagged.join(written(_starts(sizes), "starts"), ["_file", "_block"])
+    numbered = tagged.join(written(split_sums(sizes).drop("_n"), "starts"), ["_file", "_block"])
     return numbered.select(
         *[F.col(c) for c in df.columns], (F.col("_start") + F.col("_local") - F.col("_first")).alias(name)
     )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from litmine.functions.text import text_or_empty
 from litmine.operators.sizing import broadcast_if_small
-from litmine.session import spread
+from litmine.session import spread, written
+from litmine.operators.rows import split_sums
 
 # The metadata header, in order.
 METADATA_COLUMNS = [
@@ -45,18 +46,50 @@ class HeaderMismatch(ValueError):
     """The metadata file does not have the expected columns."""
 
 
+def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(source_file, record, text)``: the records of CSV files, in order, each read by the task that holds its lines.
+
+    A line begins a record if an even number of quotes lies before it in its file. Files are split like any text; quotes are
+    summed within each split, and what the splits before it add is one number for each (``rows.split_sums``). The lines of a record
+    meet by the number of the line that began it. Line ends inside quotes are read as newlines; records without any character are none.
+    """
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).cast("long")
+    lines = written(spark.read.text(path).select("value", *split, F.monotonically_increasing_id().alias("_line"), quotes.alias("_quotes")), "lines")
+    keys = ["_file", "_block"]
+    before = Window.partitionBy(*keys).orderBy("_line").rowsBetween(Window.unboundedPreceding, -1)
+    sums = split_sums(lines.groupBy(*keys).agg(F.sum("_quotes").alias("_n")), "_n", within=["_file"])
+    counted = lines.withColumn("_inside", F.coalesce(F.sum("_quotes").over(before), F.lit(0))).join(broadcast_if_small(sums), keys)
+    begins = written(counted.select("value", *keys, "_line", ((F.col("_inside") + F.col("_start")) % 2 == 0).alias("_begins")), "begins")
+    upto = Window.partitionBy(*keys).orderBy("_line").rowsBetween(Window.unboundedPreceding, 0)
+    last = begins.where("_begins").groupBy(*keys).agg(F.max("_line").alias("_last"))
+    carried = split_sums(begins.groupBy(*keys).agg(F.count("*").alias("_n")).join(last, keys, "left"), "_last", within=["_file"], largest=True)
+    first = F.last(F.when(F.col("_begins"), F.col("_line")), ignorenulls=True).over(upto)
+    owned = begins.withColumn("_own", first).join(broadcast_if_small(carried), keys).select(
+        F.col("_file").alias("source_file"), F.coalesce("_own", "_start").alias("record"), F.struct("_line", "value").alias("_part"))
+    joined = owned.groupBy("source_file", "record").agg(F.array_join(F.transform(F.array_sort(F.collect_list("_part")), lambda p: p["value"]), "\n").alias("text"))
+    return joined.where("text != ''")
+
+
 def read_metadata(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All 19 metadata columns as text; raises unless the header is exactly as expected.
+    """All 19 metadata columns as text; raises unless every file's header is exactly as expected.
 
-    Quoted fields may span lines, so one file is one task: index it and write
-    it to a table once (see ``with_row_index``).
+    Quoted fields may span lines; a file is read by as many tasks as it has splits (:func:`csv_records`). Rows are sorted
+    in file order.
     """
-    options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
-    found = spark.read.options(**options).csv(path).columns
-    if found != METADATA_COLUMNS:
-        raise HeaderMismatch(f"expected {METADATA_COLUMNS}, found {found}")
+    records = written(csv_records(spark, path), "records")
+    heads = records.groupBy("source_file").agg(F.min("record").alias("record"))
+    options = {"quote": '"', "escape": '"'}
+    columns = [f"c{i}" for i in range(len(METADATA_COLUMNS) + 1)]
+    named = records.join(broadcast_if_small(heads), ["source_file", "record"]).select(
+        F.from_csv("text", ", ".join(f"{c} string" for c in columns), options).alias("h"))
+    for (found,) in named.select(F.array(*[f"h.{c}" for c in columns])).distinct().limit(2).collect():
+        if found != [*METADATA_COLUMNS, None]:
+            raise HeaderMismatch(f"expected {METADATA_COLUMNS}, found {[c for c in found if c is not None]}")
     schema = ", ".join(f"`{c}` string" for c in METADATA_COLUMNS)
-    return spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    rows = records.join(broadcast_if_small(heads), ["source_file", "record"], "left_anti")
+    parsed = rows.select("source_file", "record", F.from_csv("text", schema, options).alias("r"))
+    return written(parsed.sort("source_file", "record").select("r.*"), "metadata")
 
 
 def read_fulltext_files(spark: SparkSession, path: str | list[str], recursive: bool = True) -> DataFrame:

@@ -8,7 +8,8 @@ from litmine.functions import article_id, last_of_list, preferred_file, row_id
 from litmine.operators.kwic import attach_fulltext, describe_rows
 from litmine.operators.ranges import fixed_chunks
 from litmine.operators.rows import row_slice, with_row_index
-from litmine.sources.cord import METADATA_COLUMNS, assemble_fulltext, decode_fulltext, fulltext_rejects
+from litmine.session import fresh_path
+from litmine.sources.cord import METADATA_COLUMNS, assemble_fulltext, decode_fulltext, fulltext_rejects, read_metadata
 from spark_queries.tables import documents, table
 
 
@@ -152,7 +153,37 @@ SELECT task, least(task * greatest(n // 399, 1), n) AS from_row,
     CASE WHEN task = 399 THEN n ELSE least((task + 1) * greatest(n // 399, 1), n) END AS until_row
 FROM (SELECT unnest(range(0, 400)) AS task), (SELECT count(*) AS n FROM orders)"""
 
+def metadata_csv(spark, sf_dir):
+    """Documents as a metadata file: whole texts as abstracts, with quotes, commas and line ends in them, read by many tasks."""
+    k = F.col("doc_id")
+    filled = {
+        "cord_uid": F.concat(F.lit("u"), k), "title": F.concat(F.lit('A "quoted", title '), k), "doi": F.when(k % 3 == 0, F.concat(F.lit("10.1/"), k)),
+        "abstract": F.concat(F.lit("text: "), "text", F.lit('\n\n"end", ')), "journal": F.col("source"), "license": F.col("lang"),
+    }
+    columns = [F.coalesce(filled.get(c, F.lit(None)).cast("string"), F.lit("")) for c in METADATA_COLUMNS]
+    line = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in columns])
+    path = fresh_path(spark, "csv")
+    docs = table(spark, sf_dir, "documents").select(k.alias("_k"), line.alias("value"))
+    head = spark.range(1).select(F.lit(None).cast("long").alias("_k"), F.lit(",".join(METADATA_COLUMNS)).alias("value"))
+    head.unionByName(docs).coalesce(1).sortWithinPartitions(F.col("_k").asc_nulls_first()).select("value").write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        found = with_row_index(read_metadata(spark, path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return found.select(
+        F.substring("cord_uid", 2, 20).cast("long").alias("doc_id"), "title", F.coalesce("doi", F.lit("")).alias("doi"), F.sha2(F.regexp_replace("abstract", "\r\n?", "\n"), 256).alias("digest"),
+        F.coalesce("journal", F.lit("")).alias("journal"), F.coalesce("license", F.lit("")).alias("license"), "row_index")
+
+
+METADATA_CSV = r"""
+SELECT doc_id, 'A "quoted", title ' || doc_id AS title, CASE WHEN doc_id % 3 = 0 THEN '10.1/' || doc_id ELSE '' END AS doi,
+  sha256('text: ' || regexp_replace(text, '\r\n?', chr(10), 'g') || chr(10) || chr(10) || '"end", ') AS digest, source AS journal, lang AS license,
+  row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents"""
+
 QUERIES = {
+    "metadata_csv": (metadata_csv, METADATA_CSV),
     "article_id_coalesce": (article_ids, ARTICLE_IDS),
     "pick_last_file": (last_file, LAST_FILE),
     "fulltext_concat": (fulltext_concat, FULLTEXT_CONCAT),

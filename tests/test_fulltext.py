@@ -8,7 +8,7 @@ from litmine.operators.kwic import KWIC_COLUMNS, attach_fulltext, describe_rows,
 from litmine.operators.rows import with_row_index
 from litmine.operators.vocabulary import finish_vocabulary
 from litmine.sources.cord import (
-    METADATA_COLUMNS, HeaderMismatch, assemble_fulltext, decode_fulltext, fulltext_rejects, read_fulltext,
+    METADATA_COLUMNS, HeaderMismatch, csv_records, assemble_fulltext, decode_fulltext, fulltext_rejects, read_fulltext,
     read_fulltext_files, read_metadata, select_by_ids,
 )
 from litmine.sources.sinks import write_lines
@@ -136,3 +136,27 @@ def test_select_by_ids(spark, tmp_path):
     pmcids = spark.createDataFrame([("pmc1",), ("def",)], "pmcid string")
     kept = {r.file_name for r in select_by_ids(files, shas, pmcids).collect()}
     assert kept == {"PMC1.xml.json", "ABC.json", "pmc2.xml.json"}
+
+
+def test_metadata_of_several_splits_is_what_the_plain_reader_gives(spark, tmp_path):
+    import csv
+    import random
+
+    r = random.Random(1)
+    rows = [[r.choice(["", "plain", 'with "quotes" in', "two\nlines", "three\n\nlines, and\n", 'a "\n" b', "é,ü"]) for _ in METADATA_COLUMNS] for _ in range(400)]
+    for name, part in (("a.csv", rows[:250]), ("b.csv", rows[250:])):
+        with open(tmp_path / name, "w", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(METADATA_COLUMNS)
+            out.writerows(part)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = read_metadata(spark, str(tmp_path))
+        assert csv_records(spark, str(tmp_path)).count() == 402 and spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    plain = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(str(tmp_path))
+    assert [tuple(x) for x in found.collect()] == [tuple(x) for x in plain.collect()]
+    indexed = [x[0] for x in with_row_index(found).select("row_index").collect()]
+    assert sorted(indexed) == list(range(400))
