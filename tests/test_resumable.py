@@ -60,3 +60,46 @@ def test_deep_text_of_long_and_odd_records(spark):
     }
     got = spark.createDataFrame(list(enumerate(cases)), "k int, raw string").select("k", with_deep_text(F.col("raw")).alias("t")).collect()
     assert {r.k: r.t for r in got} == dict(enumerate(cases.values()))
+
+
+def test_overlap_counts_match_the_pairs(spark):
+    import random
+
+    from litmine.operators.ranges import range_overlap_counts, range_overlaps
+
+    r = random.Random(5)
+    spans = [(a, a + r.choice([0, 1, 2, 50, 100000])) for a in (r.randrange(300000) for _ in range(300))] + [(5, 6), (5, 6), (7, 3)]
+    ranges = spark.createDataFrame(spans, "from_row long, until_row long")
+    pairs = {}
+    for a, b in sorted({s for s in spans if s[0] < s[1]}):
+        pairs[a, b] = sum(x < b and a < y and (x, y) != (a, b) for x, y in {s for s in spans if s[0] < s[1]})
+    assert {(x.from_row, x.until_row): x.n_overlaps for x in range_overlap_counts(ranges).collect()} == pairs
+    assert range_overlaps(ranges).count() == sum(pairs.values())
+    nested = spark.range(100000).select(F.col("id").alias("from_row"), (F.lit(300000) - F.col("id")).alias("until_row"))
+    found = range_overlap_counts(nested)
+    assert found.agg(F.min("n_overlaps"), F.max("n_overlaps"), F.count("*")).first() == (99999, 99999, 100000)
+    assert range_overlap_counts(ranges.where("false")).count() == 0
+
+
+def test_edges_of_a_replayed_and_a_changed_file(spark, tmp_path):
+    from litmine.operators.articles import articles_from_parsed, parse_records
+    from litmine.streaming.ingest import edge_counts, ingest_edges, stream_article_records
+
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+
+    def edges_of(batch):
+        articles = articles_from_parsed(parse_records(batch))
+        return articles.select(F.col("iri").alias("article"), F.explode(F.split("title", " ")).alias("term"), "source_file")
+
+    def run(progress):
+        ingest_edges(stream_article_records(spark, str(inbox), "*.xml", max_files=1, keep_empty=True), edges_of, out, str(tmp_path / progress)).awaitTermination()
+        return {x.term: x.n_articles for x in edge_counts(spark, out).collect()}
+
+    put(inbox / "a.xml", article("1", "one two"), article("2", "two"))
+    assert run("p") == {"one": 1, "two": 2}
+    put(inbox / "b.xml", article("3", "two three three"))
+    assert run("p") == {"one": 1, "two": 3, "three": 1} == run("p")
+    put(inbox / "a.xml", article("1", "four"))
+    put(inbox / "b.xml", "")
+    assert run("again") == {"four": 1}
