@@ -119,7 +119,8 @@ def range_overlaps(ranges: DataFrame) -> DataFrame:
     and a start lies in exactly one block of each level, so every pair is
     produced once and nothing is produced in vain.
     """
-    distinct = ranges.select(F.col("from_row").cast("long"), F.col("until_row").cast("long")).where("from_row < until_row").distinct()
+    distinct = written(
+        ranges.select(F.col("from_row").cast("long"), F.col("until_row").cast("long")).where("from_row < until_row").distinct(), "ranges")
     tiled = distinct.select(
         "from_row", "until_row", F.inline(_dyadic_blocks(F.col("from_row"), F.col("until_row")))
     )
@@ -128,14 +129,14 @@ def range_overlaps(ranges: DataFrame) -> DataFrame:
         F.col("from_row").alias("other_from"), F.col("until_row").alias("other_until"), used.scalar().alias("_levels")
     ).select("other_from", "other_until", F.explode("_levels").alias("level"))
     starts = starts.select("*", F.expr("shiftright(other_from, level)").alias("block"))
-    inside = tiled.join(starts, ["level", "block"]).select("from_row", "until_row", "other_from", "other_until")
-    later = inside.where("other_from > from_row")
-    same = inside.where("other_from = from_row AND other_until <> until_row")
-    mirrored = later.select(
-        F.col("other_from").alias("from_row"), F.col("other_until").alias("until_row"),
-        F.col("from_row").alias("other_from"), F.col("until_row").alias("other_until"),
-    )
-    return later.unionByName(mirrored).unionByName(same)
+    # Blocks and levels multiply the rows, which the planner does not see: by the ranges' bytes it would send them to the driver.
+    inside = tiled.join(starts.hint("merge"), ["level", "block"]).where("other_from > from_row OR (other_from = from_row AND other_until <> until_row)")
+    found, other = ["from_row", "until_row"], ["other_from", "other_until"]
+    columns = [*found, *other]
+    pair = F.struct(*columns)
+    mirrored = F.struct(*[F.col(c).alias(to) for c, to in zip([*other, *found], columns)])
+    both = F.when(F.col("other_from") > F.col("from_row"), F.array(pair, mirrored)).otherwise(F.array(pair))
+    return inside.select(F.inline(both))
 
 
 def range_overlap_counts(ranges: DataFrame) -> DataFrame:
