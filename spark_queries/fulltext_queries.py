@@ -154,7 +154,7 @@ SELECT task, least(task * greatest(n // 399, 1), n) AS from_row,
 FROM (SELECT unnest(range(0, 400)) AS task), (SELECT count(*) AS n FROM orders)"""
 
 def metadata_csv(spark, sf_dir):
-    """Documents as a metadata file: whole texts as abstracts, with quotes, commas and line ends in them, read by many tasks."""
+    """Documents as metadata files in the order of their ids: whole texts as abstracts, with quotes, commas and line ends in them, read by many tasks."""
     k = F.col("doc_id")
     filled = {
         "cord_uid": F.concat(F.lit("u"), k), "title": F.concat(F.lit('A "quoted", title '), k), "doi": F.when(k % 3 == 0, F.concat(F.lit("10.1/"), k)),
@@ -164,8 +164,11 @@ def metadata_csv(spark, sf_dir):
     line = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in columns])
     path = fresh_path(spark, "csv")
     docs = table(spark, sf_dir, "documents").select(k.alias("_k"), line.alias("value"))
-    head = spark.range(1).select(F.lit(None).cast("long").alias("_k"), F.lit(",".join(METADATA_COLUMNS)).alias("value"))
-    head.unionByName(docs).coalesce(1).sortWithinPartitions(F.col("_k").asc_nulls_first()).select("value").write.text(path)
+    dealt = docs.repartitionByRange(F.col("_k").asc_nulls_first()).sortWithinPartitions(F.col("_k").asc_nulls_first())
+    # The numbers of a task's rows begin at a multiple of 2^33: the first row of each file brings its header.
+    first = F.monotonically_increasing_id() % (1 << 33) == 0
+    header = F.when(first, ",".join(METADATA_COLUMNS) + "\n").otherwise("")
+    dealt.select("value", header.alias("_header")).select(F.concat("_header", "value").alias("value")).write.text(path)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
     try:
