@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,48 +31,97 @@ def batch_counter(root: str, expanded: frozenset[str], whitespace: bool, closing
     def local(name: str) -> str:
         return name.rsplit("}", 1)[-1]
 
-    def walk(element: ElementTree.Element) -> Iterator[str]:
-        """The path of every attribute and text run below the root, in no particular order."""
-        pending = [(element, root)]
-        while pending:
-            node, above = pending.pop()
-            tag = local(node.tag)
-            here = f"{above}.{tag}"
-            for key, value in node.attrib.items():
-                name = f"{tag}/{local(key)}"
-                yield f"{above}.{name}#{value}" if name in expanded else f"{above}.{name}"
-            yield from (here for run in (node.text, *(c.tail for c in node)) if counts(run))
-            pending.extend((child, here) for child in node)
-
-    def counts(run: str | None) -> bool:
-        return bool(run) and (whitespace or not run.isspace())
+    class Place:
+        """A path, and the places of what lies directly in it: elements, attributes, values of expanded attributes."""
+
+        __slots__ = ("path", "below", "attributes", "values")
+
+        def __init__(self, path: str):
+            self.path, self.below, self.attributes, self.values = path, {}, {}, None
+
+    def attribute(at: Place, tag: str, key: str) -> Place:
+        found = at.attributes[key] = Place(f"{at.path}/{local(key)}")
+        if f"{local(tag)}/{local(key)}" in expanded:
+            found.values = {}
+        return found
+
+    def walk(text: str, top: Place) -> list[str]:
+        """The path of every text run, and of every attribute below the root, as the parser comes by."""
+        found, above, at, run = [], [], None, False
+
+        def start(tag: str, attributes: list[str]) -> None:
+            nonlocal at, run
+            if run:
+                found.append(at.path)
+                run = False
+            above.append(at)
+            if at is None:  # the root
+                at = top
+                return
+            here = at.below.get(tag)
+            if here is None:
+                here = at.below[tag] = Place(f"{at.path}.{local(tag)}")
+            at = here
+            if not attributes:
+                return
+            for i in range(0, len(attributes), 2):  # names and values in turn
+                key = attributes[i]
+                place = here.attributes.get(key) or attribute(here, tag, key)
+                if place.values is None:
+                    found.append(place.path)
+                else:
+                    value = attributes[i + 1]
+                    found.append(place.values.get(value) or place.values.setdefault(value, f"{place.path}#{value}"))
+
+        def end(tag: str) -> None:
+            nonlocal at, run
+            if run:
+                found.append(at.path)
+                run = False
+            at = above.pop()
+
+        def any_text(data: str) -> None:
+            nonlocal run
+            run = True
+
+        def dark_text(data: str) -> None:
+            nonlocal run
+            run = run or not data.isspace()
+
+        parser = expat.ParserCreate(namespace_separator="}")
+        parser.buffer_text = parser.ordered_attributes = True
+        parser.StartElementHandler, parser.EndElementHandler = start, end
+        parser.CharacterDataHandler = any_text if whitespace else dark_text
+        parser.Parse(text, True)
+        return found
 
     def siblings(chunk: str) -> str:
         """What a chunk holds between the root's tags, wrapped so that it parses on its own."""
-        inside = re.sub(rf"\A.*?<{root}(?:\s[^>]*)?>", "", chunk, count=1, flags=re.S)
-        bare = re.sub(rf"</{root}\s*>.*\Z", "", inside, flags=re.S)
-        return f"<{root}>{bare}</{root}>"
+        if f"<{root}" in chunk:
+            chunk = re.sub(rf"\A.*?<{root}(?:\s[^>]*)?>", "", chunk, count=1, flags=re.S)
+        if f"</{root}" in chunk:
+            chunk = re.sub(rf"</{root}\s*>.*\Z", "", chunk, flags=re.S)
+        return f"<{root}>{chunk}</{root}>"
 
-    def parse(chunk: str) -> ElementTree.Element | None:
+    def paths(chunk: str, top: Place) -> list[str] | None:
         for text in (chunk + closing_tag, chunk):
             try:
-                return ElementTree.fromstring(siblings(text))
-            except ElementTree.ParseError:
+                return walk(siblings(text), top)
+            except expat.ExpatError:
                 continue
         return None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter[tuple[str, str]] = Counter()
+            # Places are made for well-formed records and others; paths are counted of the former only.
+            seen: dict[str, tuple[Place, Counter[str]]] = {}
             for source, chunk in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tree = parse(chunk or "")
-                if tree is None:
-                    seen[source, MALFORMED] += 1
-                    continue
-                seen[source, root] += sum(counts(run) for run in (tree.text, *(c.tail for c in tree)))
-                for child in tree:
-                    seen.update((source, path) for path in walk(child))
-            rows = [(s, p, n) for (s, p), n in seen.items() if n]
+                if source not in seen:
+                    seen[source] = Place(root), Counter()
+                top, n = seen[source]
+                found = paths(chunk or "", top)
+                n.update((MALFORMED,) if found is None else found)
+            rows = [(s, p, n) for s, (_, counted) in seen.items() for p, n in counted.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))],
                 names=["source_file", "path", "n"],
