@@ -180,6 +180,18 @@ def test_frequent_lines_deplete_documents(spark):
     assert got[99]["removed_words"] == 0
 
 
+def test_frequent_lines_are_taken_out_of_the_texts(spark):
+    head = "Read MORE in issue 7 of our own paper today"
+    other = [f"{sentence(k, 12)}\n\n{sentence(k + 50, 12)}" for k in range(30)]
+    texts = [(k, "s", (f"{head}\n{body}", f"{body}\n  {head.lower()}", f"{body}\n{head}\n", f"{head}\n{head}")[k % 4]) for k, body in enumerate(other)]
+    docs = spark.createDataFrame([*texts, (50, "s", head), (50, "s", head), (51, "s", None), (52, "t", head)], "doc_id long, source string, text string").repartition(3)
+    got = {r["doc_id"]: r for r in line_quality(docs).collect()}
+    for k, body in enumerate(other):
+        assert got[k]["cleaned"] == (body, body, body + "\n", "")[k % 4], k
+        assert got[k]["n_words"] - got[k]["removed_words"] == len((got[k]["cleaned"]).split())
+    assert (got[50]["cleaned"], got[51]["cleaned"], got[52]["cleaned"]) == ("", None, head)
+
+
 def test_source_mix_on_awkward_rows(rows):
     got = mix_sources(rows, block=7).collect()
     assert len(got) == rows.count()
