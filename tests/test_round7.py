@@ -3,10 +3,12 @@
 import datetime
 
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 from litmine.functions import terms as T
 from litmine.operators.triples import TRIPLE_COLUMNS, graph_difference
-from litmine.sources.triples import parse_ntriples
+from litmine.sources.sinks import clustered, write_ntriples, write_triples
+from litmine.sources.triples import parse_ntriples, read_ntriples
 from spark_queries.xml_queries import AUTHOR_LIST_ORDER, author_list_order
 
 
@@ -73,3 +75,20 @@ def test_graphs_are_compared_without_moving_texts(spark):
     assert [(r.side, r.subject) for r in graph_difference(right, left).where("subject IS NOT NULL").collect()] == [("left", "d")]
     plan = graph_difference(left, left)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [subject" not in plan, plan
+
+
+def test_statements_of_a_subject_are_written_side_by_side(spark, tmp_path):
+    rows = [(f"http://a/{k}", "iri", f"p{i}", f"text {i} of {k}", "literal", T.XSD_STRING, f"/in/{k % 2}.xml") for k in range(400) for i in range(5)]
+    triples = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in (*TRIPLE_COLUMNS, "source_file"))).repartition(7)
+    sourced = triples.withColumnRenamed("source_file", "source")
+    pieces = clustered(sourced, rows_per_file=250, near=sourced.subject)
+    assert pieces.count() == 2000 and pieces.select("subject", spark_partition_id()).distinct().count() == 400
+    for _ in range(2):
+        write_triples(triples, f"{tmp_path}/table")
+    table = spark.read.parquet(f"{tmp_path}/table")
+    assert graph_difference(triples, table).isEmpty() and table.count() == 2000
+    # Each source lies in one task already, so its rows are not dealt out again.
+    assert "Exchange" not in clustered(table.coalesce(1))._jdf.queryExecution().executedPlan().toString()
+    write_ntriples(table, f"{tmp_path}/nt")
+    back = read_ntriples(spark, f"{tmp_path}/nt")
+    assert graph_difference(triples, back).isEmpty() and back.select("source_file").distinct().count() == 2
